@@ -35,33 +35,33 @@ def _iso_text(text: Column) -> Column:
 
 
 def _week_date(text: Column) -> Column:
-    year, week = (F.regexp_extract(text, WEEK_DATE, i).try_cast("int") for i in (1, 2))
-    day = F.coalesce(F.regexp_extract(text, WEEK_DATE, 3).try_cast("int"), F.lit(1))
-    monday = F.date_trunc("week", F.make_timestamp(year, F.lit(1), F.lit(4), F.lit(0),
-                                                   F.lit(0), F.lit(0))).cast("date")
-    start = F.date_add(monday, (week - 1) * 7)
-    # The Thursday of a week tells which year the week belongs to.
-    fits = (week >= 1) & (F.year(F.date_add(start, 3)) == year)
-    return F.when(fits, F.date_add(start, day - 1).cast("timestamp"))
+    """ISO week date; the day defaults to Monday, a week the year lacks is null."""
+    digits = F.replace(text, F.lit("-"), F.lit(""))
+    year, week = (F.substring(digits, at, n).try_cast("int") for at, n in ((1, 4), (6, 2)))
+    day = F.coalesce(F.substring(digits, 8, 1).try_cast("int"), F.lit(1))
+    fourth = F.make_date(year, F.lit(1), F.lit(4))
+    date = F.date_add(fourth, (week - 1) * 7 + day - 1 - F.weekday(fourth))
+    return F.when(F.weekofyear(date) == week, date.cast("timestamp"))
+
+
+def _other_iso(text: Column) -> Column:
+    # No match extracts '', which casts to null.
+    return (F.when(text.rlike(WEEK_DATE), _week_date(text))
+            .otherwise(F.regexp_extract(_iso_text(text), EXTENDED, 0).try_cast("timestamp")))
 
 
 def parse_instant(c: Column | str) -> Column:
     """P5: business timestamp of a feed; no zone means UTC, failure is null."""
     text = strip(c)
-    iso = _iso_text(text)
-    return (F.when(text.rlike(DAY_FIRST),
-                   F.regexp_replace(text, DAY_FIRST, "$3-$2-$1").try_cast("timestamp"))
-            .when(text.rlike(PLAIN), text.try_cast("timestamp"))
-            .when(text.rlike(WEEK_DATE), _week_date(text))
-            .when(iso.rlike(EXTENDED), iso.try_cast("timestamp")))
+    return (F.when(text.rlike(PLAIN), text.try_cast("timestamp"))
+            .when(text.rlike(DAY_FIRST),
+                  F.regexp_replace(text, DAY_FIRST, "$3-$2-$1").try_cast("timestamp"))
+            .otherwise(_other_iso(text)))
 
 
 def parse_iso(c: Column | str) -> Column:
     """Lenient ISO-8601 on persist, failure is null."""
-    text = strip(c)
-    iso = _iso_text(text)
-    return (F.when(text.rlike(WEEK_DATE), _week_date(text))
-            .when(iso.rlike(EXTENDED), iso.try_cast("timestamp")))
+    return _other_iso(strip(c))
 
 
 def iso_format(c: Column | str) -> Column:

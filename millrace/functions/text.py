@@ -12,8 +12,8 @@ WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
 # Text forms of a float (digits may be grouped by single underscores).
 _DIGITS = r"\d(?:_?\d)*"
 FLOAT_PATTERN = (rf"^[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$")
-INFINITY_PATTERN = r"(?i)^[+-]?inf(?:inity)?$"
-NAN_PATTERN = r"(?i)^[+-]?nan$"
+INFINITY_PATTERN = r"^[+-]?(?i:inf(?:inity)?)$"
+NAN_PATTERN = r"^[+-]?(?i:nan)$"
 
 
 def _col(c: Column | str) -> Column:
@@ -42,10 +42,11 @@ def to_number(c: Column | str) -> Column:
     floats, and does not take grouped digits.
     """
     text = strip(c)
-    return (F.when(text.rlike(FLOAT_PATTERN),
-                   F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
-            .when(text.rlike(INFINITY_PATTERN), text.try_cast("double"))
-            .when(text.rlike(NAN_PATTERN), F.lit(float("nan"))))
+    # No match extracts '', which casts to null.
+    plain = F.replace(F.regexp_extract(text, FLOAT_PATTERN, 0), F.lit("_"), F.lit(""))
+    return (F.when(text.rlike(INFINITY_PATTERN), text.try_cast("double"))
+            .when(text.rlike(NAN_PATTERN), F.lit(float("nan")))
+            .otherwise(plain.try_cast("double")))
 
 
 def is_blank(c: Column | str) -> Column:

@@ -59,6 +59,12 @@ def final_status(last_stage: Column, last_status: Column) -> Column:
         last_status)
 
 
+def _by_time(a: Column, b: Column) -> Column:
+    """Order of two steps; details are a map, which has no order of its own."""
+    x, y = (F.struct(s["timestamp"], s["stage_no"]) for s in (a, b))
+    return F.when(x < y, -1).when(x > y, 1).otherwise(0)
+
+
 def nest_lineage(steps: DataFrame) -> DataFrame:
     """One object per stored record with its steps in order.
 
@@ -67,7 +73,7 @@ def nest_lineage(steps: DataFrame) -> DataFrame:
     """
     step = F.struct("timestamp", "stage_no", "stage", "status", "details", "source", "run_id")
     nested = (steps.groupBy("record_id", "record_hash")
-              .agg(F.array_sort(F.collect_list(step)).alias("steps")))
+              .agg(F.array_sort(F.collect_list(step), _by_time).alias("steps")))
     first, last = F.element_at("steps", 1), F.element_at("steps", -1)
     return nested.select(
         "record_id", "record_hash", first["source"].alias("source"),
