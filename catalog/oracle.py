@@ -148,11 +148,11 @@ CTES = {
           count(distinct record_hash) as unique_rows, max(created_at) as newest
         from c_day group by run_id"""),
     "snaps": (("q_day",), """
-        select run_id, round(.25 * completeness + .25 * validity + .2 * consistency
-            + .15 * uniqueness + .15 * freshness, 1) as overall_score,
-          round(completeness, 1) as completeness, round(validity, 1) as validity,
-          round(consistency, 1) as consistency, round(uniqueness, 1) as uniqueness,
-          round(freshness, 1) as freshness, rows, valid_rows, consistent_rows,
+        select run_id, cast(printf('%.1f', .25 * completeness + .25 * validity + .2 * consistency
+            + .15 * uniqueness + .15 * freshness) as double) as overall_score,
+          cast(printf('%.1f', completeness) as double) as completeness, cast(printf('%.1f', validity) as double) as validity,
+          cast(printf('%.1f', consistency) as double) as consistency, cast(printf('%.1f', uniqueness) as double) as uniqueness,
+          cast(printf('%.1f', freshness) as double) as freshness, rows, valid_rows, consistent_rows,
           timestamp '2024-01-01' + to_days(cast(run_id as int)) as timestamp
         from (select *, (4 * rows - gaps) / (4 * rows) * 100.0 as completeness,
             valid_rows / rows * 100.0 as validity, consistent_rows / rows * 100.0 as consistency,
@@ -281,9 +281,9 @@ NO_JSON = "'Missing record_id; Missing name; Invalid email; Value must be numeri
 
 def _quality(rows: str, fresh: str) -> str:
     return f"""
-        select round(.25 * c + .25 * v + .2 * k + .15 * u + .15 * f, 1) as overall_score,
-          round(c, 1) as completeness, round(v, 1) as validity, round(k, 1) as consistency,
-          round(u, 1) as uniqueness, round(f, 1) as freshness, rows, valid_rows, consistent_rows
+        select cast(printf('%.1f', .25 * c + .25 * v + .2 * k + .15 * u + .15 * f) as double) as overall_score,
+          cast(printf('%.1f', c) as double) as completeness, cast(printf('%.1f', v) as double) as validity, cast(printf('%.1f', k) as double) as consistency,
+          cast(printf('%.1f', u) as double) as uniqueness, cast(printf('%.1f', f) as double) as freshness, rows, valid_rows, consistent_rows
         from (select count(*) as rows,
             (4 * count(*) - count(*) filter (coalesce(name, '') = '')
               - count(*) filter (coalesce(email, '') = '') - count(*) filter (value is null)
@@ -300,11 +300,11 @@ def _quality(rows: str, fresh: str) -> str:
 def _health(runs: str, sources: str, found: str, ms: str = "duration_ms") -> str:
     """Health score of the runs and sources given as table expressions."""
     return f"""
-        select round(.3 * a + .25 * l + .25 * v + .2 * r, 1) as overall_score,
-          round(a, 1) as availability, round(l, 1) as latency, round(v, 1) as validation,
-          round(r, 1) as reliability,
-          case when round(.3 * a + .25 * l + .25 * v + .2 * r, 1) < 50 then 'CRITICAL'
-            when round(.3 * a + .25 * l + .25 * v + .2 * r, 1) < 80 then 'DEGRADED'
+        select cast(printf('%.1f', .3 * a + .25 * l + .25 * v + .2 * r) as double) as overall_score,
+          cast(printf('%.1f', a) as double) as availability, cast(printf('%.1f', l) as double) as latency, cast(printf('%.1f', v) as double) as validation,
+          cast(printf('%.1f', r) as double) as reliability,
+          case when cast(printf('%.1f', .3 * a + .25 * l + .25 * v + .2 * r) as double) < 50 then 'CRITICAL'
+            when cast(printf('%.1f', .3 * a + .25 * l + .25 * v + .2 * r) as double) < 80 then 'DEGRADED'
             else 'HEALTHY' end as status
         from (select {sources} as a,
             greatest(20.0, least(100.0, 100.0 - greatest(0.0, (m - 1000.0) / 100.0))) as l,
@@ -327,10 +327,12 @@ def _changes(pairs: str) -> str:
           coalesce(a.{c}, 95.0) - coalesce(b.{c}, 90.0) {better} 0 as better
         from ({pairs})""" for no, name, c, better in metrics)
     return f"""
-        select latest_run_id, previous_run_id, metric_no, name, round(x, 2) as latest_value,
-          round(y, 2) as previous_value, round(x - y, 2) as absolute_change,
-          round(case when y > 0 then (x - y) / y * 100.0 when x > 0 then 100.0 else 0.0 end, 1)
-            as percent_change,
+        select latest_run_id, previous_run_id, metric_no, name,
+          cast(printf('%.2f', x) as double) as latest_value,
+          cast(printf('%.2f', y) as double) as previous_value,
+          cast(printf('%.2f', x - y) as double) as absolute_change,
+          cast(printf('%.1f', case when y > 0 then (x - y) / y * 100.0 when x > 0 then 100.0
+            else 0.0 end) as double) as percent_change,
           case when abs(x - y) < 0.001 then 'NEUTRAL' when better then 'IMPROVED'
             else 'DEGRADED' end as status from ({rows})"""
 
@@ -470,9 +472,9 @@ ORACLE: dict[str, str] = {
           run_id % 5 = 0 as unfinished from runs""", "runs"),
     "quality_scores": sql(_quality("checked", AS_OF), "checked"),
     "quality_by_source": sql("""select source, count(*) as rows,
-        round((3 * count(*) - count(*) filter (coalesce(name, '') = '')
+        cast(printf('%.1f', (3 * count(*) - count(*) filter (coalesce(name, '') = '')
           - count(*) filter (coalesce(email, '') = '') - count(*) filter (value is null))
-          / (3 * count(*)) * 100.0, 1) as completeness from checked group by source""", "checked"),
+          / (3 * count(*)) * 100.0) as double) as completeness from checked group by source""", "checked"),
     "quality_snapshot": sql("select cast(1 as bigint) as run_id, * exclude (consistent_rows), "
                             "100.0 as source_a, (select case when count(*) > 0 then 100.0 end "
                             "from kept where source = 'Source B') as source_b from ("

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace import contract as K
 from millrace.functions.asof import AsOf, as_instant
 from millrace.functions.identity import content_id
+from millrace.functions.render import fill
 
 
 def _alert(rows: DataFrame, rule: str, severity: Column, source: Column, run: Column,
@@ -17,8 +18,8 @@ def _alert(rows: DataFrame, rule: str, severity: Column, source: Column, run: Co
     head, body = K.ALERT_TEXTS[rule]
     return rows.select(
         content_id("alert-", F.lit(rule), run, source, *identity).alias("id"),
-        severity.alias("severity"), F.format_string(head, *title).alias("title"),
-        F.format_string(body, *text).alias("description"), source.alias("source"),
+        severity.alias("severity"), fill(head, *title).alias("title"),
+        fill(body, *text).alias("description"), source.alias("source"),
         F.lit("ACTIVE").alias("status"), run.cast("bigint").alias("run_id"),
         F.lit(None).cast("string").alias("record_id"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from millrace import contract as K
 from millrace.functions.asof import AsOf, as_instant
 from millrace.functions.identity import content_id
+from millrace.functions.render import fill
 from millrace.operators.forest import Forest, fit_forest
 
 ANOMALY_COLUMNS = ["id", "run_id", "record_id", "source", "feature_name", "current_value",
@@ -81,9 +82,9 @@ def value_anomalies(scan: DataFrame, history: DataFrame | None = None, *,
         F.coalesce(F.nullif("record_id", F.lit("")), F.lit("N/A")).alias("record_id"),
         F.coalesce(F.nullif("source", F.lit("")), F.lit("Unknown")).alias("source"),
         F.lit("value").alias("feature_name"), v.alias("current_value"),
-        F.format_string(K.VALUE_RANGE, s["low"], s["high"]).alias("expected_range"),
+        fill(K.VALUE_RANGE, s["low"], s["high"]).alias("expected_range"),
         _severity().alias("severity"),
-        F.format_string(K.VALUE_REASON, v, s["low"], s["high"], s["mean"], s["std"])
+        fill(K.VALUE_REASON, v, s["low"], s["high"], s["mean"], s["std"])
         .alias("reason"),
         F.lit("ACTIVE").alias("status"), as_instant(as_of).alias("timestamp"))
 
@@ -125,7 +126,7 @@ def run_anomalies(runs: DataFrame, *, latest_only: bool = True, as_of: AsOf = No
         content_id("anom-run-", "run_id", F.lit("duration_ms"), ms).alias("id"), "run_id",
         F.lit(None).cast("string").alias("record_id"), F.lit(K.ORCHESTRATOR).alias("source"),
         F.lit("duration_ms").alias("feature_name"), ms.alias("current_value"),
-        F.format_string(K.RUN_RANGE, mean + 2 * std).alias("expected_range"),
+        fill(K.RUN_RANGE, mean + 2 * std).alias("expected_range"),
         F.lit("HIGH").alias("severity"),
-        F.format_string(K.RUN_REASON, ms, mean - std, mean + 2 * std).alias("reason"),
+        fill(K.RUN_REASON, ms, mean - std, mean + 2 * std).alias("reason"),
         F.lit("ACTIVE").alias("status"), as_instant(as_of).alias("timestamp"))

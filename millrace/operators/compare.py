@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from millrace import contract as K
+from millrace.functions.render import round_even
 
 # Metric number, column of a measured run, lower values are better.
 _METRICS = [(1, "processed", False), (2, "duplicates", True), (3, "failed", True),
@@ -33,8 +34,8 @@ def _change(latest: Column, previous: Column, lower_is_better: bool) -> dict[str
     better = diff < 0 if lower_is_better else diff > 0
     status = (F.when(F.abs(diff) < 0.001, "NEUTRAL").when(better, "IMPROVED")
               .otherwise("DEGRADED"))
-    return {"latest_value": F.round(latest, 2), "previous_value": F.round(previous, 2),
-            "absolute_change": F.round(diff, 2), "percent_change": F.round(percent, 1),
+    return {"latest_value": round_even(latest, 2), "previous_value": round_even(previous, 2),
+            "absolute_change": round_even(diff, 2), "percent_change": round_even(percent, 1),
             "status": status}
 
 

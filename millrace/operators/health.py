@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from millrace import contract as K
 from millrace.functions.asof import AsOf, as_instant
+from millrace.functions.render import round_even
 
 
 def _availability(runs: DataFrame, sources: DataFrame) -> DataFrame:
@@ -53,10 +54,10 @@ def pipeline_health(runs: DataFrame, sources: DataFrame, anomalies: DataFrame,
     none = F.col("_a.run_count") == 0
     raw = base.select(*[F.when(none, 100.0).otherwise(c).alias(n) for n, c in parts.items()])
     overall = sum((F.col(n) * w for n, w in K.HEALTH_WEIGHTS.items()), F.lit(0.0))
-    scored = raw.withColumn("overall_score", F.round(overall, 1))
+    scored = raw.withColumn("overall_score", round_even(overall, 1))
     score = F.col("overall_score")
     return scored.select(
-        "overall_score", *[F.round(n, 1).alias(n) for n in parts],
+        "overall_score", *[round_even(F.col(n), 1).alias(n) for n in parts],
         F.when(score < 50, "CRITICAL").when(score < 80, "DEGRADED")
         .otherwise("HEALTHY").alias("status"),
         as_instant(as_of).alias("updated_at"))

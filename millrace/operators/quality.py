@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace import contract as K
 from millrace.functions.asof import AsOf, as_instant
+from millrace.functions.render import round_even
 
 
 def _missing(records: DataFrame, name: str) -> Column:
@@ -79,8 +80,8 @@ def _with_scores(counted: DataFrame, as_of: AsOf, keep: Sequence[str]) -> DataFr
     raw = counted.select(*keep, "rows", "valid_rows", "consistent_rows",
                          *[col.alias(name) for name, col in scores.items()])
     overall = sum((F.col(c) * w for c, w in K.QUALITY_WEIGHTS.items()), F.lit(0.0))
-    return raw.select(*keep, F.round(overall, 1).alias("overall_score"),
-                      *[F.round(c, 1).alias(c) for c in scores],
+    return raw.select(*keep, round_even(overall, 1).alias("overall_score"),
+                      *[round_even(F.col(c), 1).alias(c) for c in scores],
                       "rows", "valid_rows", "consistent_rows")
 
 
@@ -126,7 +127,7 @@ def _source_completeness() -> Column:
     fields = K.QUALITY_SOURCE_FIELDS
     cells = F.col("rows") * len(fields)
     gaps = sum((F.col(f"missing_{c}") for c in fields), F.lit(0))
-    return F.round(_percent(cells - gaps, cells), 1)
+    return round_even(_percent(cells - gaps, cells), 1)
 
 
 def quality_by_source(records: DataFrame) -> DataFrame:

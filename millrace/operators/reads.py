@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Row, Window as W, functions as F
 
 from millrace import contract as K
+from millrace.functions.render import fill
 from millrace.operators.validate import items_where, records_of
 
 NEWEST = ("ingested_at", "record_hash")
@@ -91,7 +92,7 @@ def duration_series(runs: DataFrame, limit: int = K.CHART_RUNS) -> DataFrame:
     """Durations of the newest runs, oldest first, in whole milliseconds."""
     rounded = F.floor(F.col("duration_ms") + 0.5).cast("bigint")
     return (runs.orderBy(F.desc("run_id")).limit(limit)
-            .select("run_id", F.format_string("Run %d", "run_id").alias("label"),
+            .select("run_id", fill("Run %d", F.col("run_id")).alias("label"),
                     rounded.alias("duration_ms"), "status").orderBy("run_id"))
 
 

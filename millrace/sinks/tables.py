@@ -38,6 +38,10 @@ class Tables:
     def name(self, table: str) -> str:
         return f"`{self.database}`.`{table}`"
 
+    def in_session(self, spark: SparkSession) -> "Tables":
+        """The same tables, read and written by another session."""
+        return Tables(spark, self.root, self.database, self.buckets)
+
     def create(self) -> "Tables":
         """K1: create what is missing; existing files are picked up again."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` "
@@ -57,6 +61,8 @@ class Tables:
 
     def read(self, table: str) -> DataFrame:
         if table not in PER_RUN:
+            # Files may come from another session, such as that of a stream.
+            self.spark.catalog.refreshTable(self.name(table))
             return self.spark.table(self.name(table))
         try:
             return self.spark.read.schema(schemas.TABLES[table]).parquet(self.folder(table))

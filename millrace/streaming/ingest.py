@@ -51,16 +51,16 @@ def start_ingest(spark: SparkSession, tables: Tables, canonical: DataFrame, chec
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        run_id = first_run_id + batch_id
+        run_id, session = first_run_id + batch_id, batch.sparkSession
+        here = tables.in_session(session)
         started, clock = datetime.now(timezone.utc), time.perf_counter()
-        counts, inserted = store_batch(batch.sparkSession, tables, batch, run_id)
+        counts, inserted = store_batch(session, here, batch, run_id)
         elapsed = (time.perf_counter() - clock) * 1000
         outcomes = [Outcome(name, "SUCCESS", received, elapsed, None, 1, None)
                     for name, (received, _, _) in sorted(counts.items())]
-        close_run(batch.sparkSession, tables, outcomes, counts, run_id, started, elapsed,
-                  inserted, as_of)
+        close_run(session, here, outcomes, counts, run_id, started, elapsed, inserted, as_of)
         if analyse:
-            analyse_run(tables, run_id, as_of=as_of)
+            analyse_run(here, run_id, as_of=as_of)
 
     return (canonical.writeStream.foreachBatch(process)
             .option("checkpointLocation", checkpoint)
