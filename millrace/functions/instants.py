@@ -12,7 +12,7 @@ from pyspark.sql import Column, functions as F
 from millrace.functions.text import strip
 
 # Accepted shapes.
-DAY_FIRST = r"^(\d{1,2})-(\d{1,2})-(\d{4})$"
+DAY_FIRST = r"^\d{1,2}-\d{1,2}-\d{4}$"
 PLAIN = r"^\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{1,2}:\d{1,2}$"
 EXTENDED = (r"^\d{4}-\d\d-\d\d(?:T\d\d(?::\d\d(?::\d\d(?:\.\d+)?)?)?"
             r"(?:[+-]\d\d(?::\d\d(?::\d\d)?)?)?)?$")
@@ -50,12 +50,17 @@ def _other_iso(text: Column) -> Column:
             .otherwise(F.regexp_extract(_iso_text(text), EXTENDED, 0).try_cast("timestamp")))
 
 
-def parse_instant(c: Column | str) -> Column:
-    """P5: business timestamp of a feed; no zone means UTC, failure is null."""
-    text = strip(c)
-    return (F.when(text.rlike(PLAIN), text.try_cast("timestamp"))
-            .when(text.rlike(DAY_FIRST),
-                  F.regexp_replace(text, DAY_FIRST, "$3-$2-$1").try_cast("timestamp"))
+def parse_instant(c: Column | str, stripped: bool = False) -> Column:
+    """P5: business timestamp of a feed; no zone means UTC, failure is null.
+    ``stripped`` says that the text has no outer white space any more."""
+    text = (F.col(c) if isinstance(c, str) else c) if stripped else strip(c)
+    # A day in front is the only spelling with a dash this early.
+    month = F.substring_index(F.substring_index(text, "-", 2), "-", -1)
+    day_first = F.when(text.rlike(DAY_FIRST), F.concat_ws(
+        "-", F.substring(text, -4, 4), month, F.substring_index(text, "-", 1))
+        .try_cast("timestamp"))
+    return (F.when(F.instr(text, "-").between(2, 3), day_first)
+            .when(text.rlike(PLAIN), text.try_cast("timestamp"))
             .otherwise(_other_iso(text)))
 
 

@@ -12,6 +12,7 @@ WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
 # Text forms of a float (digits may be grouped by single underscores).
 _DIGITS = r"\d(?:_?\d)*"
 FLOAT_PATTERN = (rf"^[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$")
+NUMBER_CHARACTERS = r"^[0123456789.eE+-]+$"
 INFINITY_PATTERN = r"^[+-]?(?i:inf(?:inity)?)$"
 NAN_PATTERN = r"^[+-]?(?i:nan)$"
 
@@ -35,18 +36,20 @@ def clean_email(c: Column | str) -> Column:
     return F.lower(clean_text(c))
 
 
-def to_number(c: Column | str) -> Column:
+def to_number(c: Column | str, stripped: bool = False) -> Column:
     """Text to double, anything that is not a number becomes null.
+    ``stripped`` says that the text has no outer white space any more.
 
     The shape is checked first because a plain cast also takes ``1d`` and hex
     floats, and does not take grouped digits.
     """
-    text = strip(c)
-    # No match extracts '', which casts to null.
-    plain = F.replace(F.regexp_extract(text, FLOAT_PATTERN, 0), F.lit("_"), F.lit(""))
-    return (F.when(text.rlike(INFINITY_PATTERN), text.try_cast("double"))
+    text = _col(c) if stripped else strip(c)
+    # Of these characters alone, a cast takes exactly the numbers; '' is no match.
+    grouped = F.replace(F.regexp_extract(text, FLOAT_PATTERN, 0), F.lit("_"), F.lit(""))
+    return (F.when(text.rlike(NUMBER_CHARACTERS), text.try_cast("double"))
+            .when(text.rlike(INFINITY_PATTERN), text.try_cast("double"))
             .when(text.rlike(NAN_PATTERN), F.lit(float("nan")))
-            .otherwise(plain.try_cast("double")))
+            .otherwise(grouped.try_cast("double")))
 
 
 def is_blank(c: Column | str) -> Column:

@@ -70,7 +70,7 @@ def duplicate_report(records: DataFrame, keep: Sequence[str] = (), hot_keys: int
              .filter(F.col("_copies") > 1))
     rows = records.select(*keep, "record_hash", "record_id", *ARRIVAL,
                           F.col("source").alias("duplicate_source"))
-    joined = join_per_key(rows, keyed, "record_hash", "_copies", hot_keys, hot_copies)
+    joined = join_per_key(rows, keyed, "record_hash", "_copies", ARRIVAL, hot_keys, hot_copies)
     is_first = ((F.col("source_rank") == F.col("_first.source_rank"))
                 & (F.col("pos") == F.col("_first.pos")))
     return joined.filter(~is_first).select(

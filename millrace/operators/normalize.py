@@ -10,24 +10,39 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace import contract as K
 from millrace.functions.asof import AsOf, as_instant
 from millrace.functions.instants import parse_instant
-from millrace.functions.text import clean_email, clean_text, to_number
+from millrace.functions.text import strip, to_number
 
 CANONICAL_COLUMNS = ["record_id", "name", "email", "value", "source", "created_at",
                      "ingested_at", "source_rank", "pos"]
+TARGETS = ["record_id", "name", "email", "value", "created_at"]
 _NUMERIC = {"double", "float", "int", "bigint", "smallint", "tinyint"}
+_INSTANT = {"timestamp", "timestamp_ntz", "date"}
 
 
-def _number(raw: DataFrame, name: str) -> Column:
+def _typed(raw: DataFrame, name: str, target: str) -> bool:
+    """Numbers and instants that are already typed need no parsing."""
     kind = raw.schema[name].dataType.simpleString()
-    if kind in _NUMERIC or kind.startswith("decimal"):
-        return F.col(name).cast("double")
-    return to_number(name)
+    if target == "value":
+        return kind in _NUMERIC or kind.startswith("decimal")
+    return target == "created_at" and kind in _INSTANT
 
 
-def _instant(raw: DataFrame, name: str) -> Column:
-    if raw.schema[name].dataType.simpleString() in ("timestamp", "timestamp_ntz", "date"):
-        return F.col(name).cast("timestamp")
-    return parse_instant(name)
+def _canonical(stripped: DataFrame, source: Column, rank: Column, as_of: AsOf,
+               typed: set[str]) -> DataFrame:
+    """P2-P7 over columns ``_record_id`` ... ``_created_at`` of stripped text.
+
+    Stripping is a projection of its own: the texts are used several times below,
+    so Spark keeps the projection and strips each of them once.
+    """
+    text = {t: F.nullif(F.col(f"_{t}"), F.lit("")) for t in ("record_id", "name", "email")}
+    value = F.col("_value").cast("double") if "value" in typed else to_number("_value", True)
+    created = (F.col("_created_at").cast("timestamp") if "created_at" in typed
+               else parse_instant("_created_at", True))
+    return stripped.select(
+        F.coalesce(text["record_id"], F.lit("")).alias("record_id"), text["name"].alias("name"),
+        F.lower(text["email"]).alias("email"), value.alias("value"), source.alias("source"),
+        created.alias("created_at"), as_instant(as_of).alias("ingested_at"),
+        rank.cast("int").alias("source_rank"), F.col("pos").cast("bigint").alias("pos"))
 
 
 def normalize_feed(raw: DataFrame, source: str, rank: int, *, as_of: AsOf = None,
@@ -37,24 +52,12 @@ def normalize_feed(raw: DataFrame, source: str, rank: int, *, as_of: AsOf = None
     ``fields`` maps canonical names to feed columns; the three known feeds have
     theirs built in. A feed without one of the columns gets null there.
     """
-    names = dict(fields or K.FEED_FIELDS[source])
-    have = set(raw.columns)
-
-    def pick(target: str, build) -> Column:
-        column = names.get(target)
-        return build(column) if column in have else F.lit(None)
-
-    return raw.select(
-        F.coalesce(pick("record_id", clean_text).cast("string"), F.lit("")).alias("record_id"),
-        pick("name", clean_text).cast("string").alias("name"),
-        pick("email", clean_email).cast("string").alias("email"),
-        pick("value", lambda c: _number(raw, c)).cast("double").alias("value"),
-        F.lit(source).alias("source"),
-        pick("created_at", lambda c: _instant(raw, c)).cast("timestamp").alias("created_at"),
-        as_instant(as_of).alias("ingested_at"),
-        F.lit(rank).cast("int").alias("source_rank"),
-        F.col(pos).cast("bigint").alias("pos"),
-    )
+    names = {t: c for t, c in (fields or K.FEED_FIELDS[source]).items() if c in raw.columns}
+    typed = {t for t, c in names.items() if _typed(raw, c, t)}
+    texts = {f"_{t}": F.lit(None).cast("string") if t not in names
+             else F.col(names[t]) if t in typed else strip(names[t]) for t in TARGETS}
+    stripped = raw.select(*[c.alias(n) for n, c in texts.items()], F.col(pos).alias("pos"))
+    return _canonical(stripped, F.lit(source), F.lit(rank), as_of, typed)
 
 
 def detect_source(keys: Column) -> Column:
@@ -78,30 +81,23 @@ def normalize_mixed(raw: DataFrame, rank: int | str = 1, *, payload: str = "payl
     with nothing but its id, so that validation rejects it visibly.
     """
     parsed = raw.select(
-        F.from_json(payload, "map<string,string>").alias("_m"),
-        F.col(pos).cast("bigint").alias("pos"),
-        (F.lit(rank) if isinstance(rank, int) else F.col(rank)).cast("int").alias("source_rank"),
+        F.from_json(payload, "map<string,string>").alias("_m"), F.col(pos).alias("pos"),
+        (F.lit(rank) if isinstance(rank, int) else F.col(rank)).alias("source_rank"),
     ).withColumn("source", F.coalesce(detect_source(F.map_keys("_m")),
                                       F.lit(K.UNKNOWN_SOURCE)))
 
-    def field(target: str, unknown: Column | None = None) -> Column:
+    def field(target: str) -> Column:
         chain = F
         for source, names in K.FEED_FIELDS.items():
             chain = chain.when(F.col("source") == source,
                                F.try_element_at("_m", F.lit(names[target])))
-        return chain if unknown is None else chain.otherwise(unknown)
-
-    record_id = field("record_id", F.try_element_at("_m", F.lit("record_id")))
-    return parsed.select(
-        F.coalesce(clean_text(record_id), F.lit("")).alias("record_id"),
-        clean_text(field("name")).alias("name"),
-        clean_email(field("email")).alias("email"),
-        to_number(field("value")).alias("value"),
-        "source",
-        parse_instant(field("created_at")).alias("created_at"),
-        as_instant(as_of).alias("ingested_at"),
-        "source_rank", "pos",
-    )
+        if target != "record_id":
+            return chain.otherwise(F.lit(None))
+        return chain.otherwise(F.try_element_at("_m", F.lit("record_id")))
+
+    stripped = parsed.select(*[strip(field(t)).alias(f"_{t}") for t in TARGETS],
+                             "source", "source_rank", "pos")
+    return _canonical(stripped, F.col("source"), F.col("source_rank"), as_of, set())
 
 
 def passthrough(raw: DataFrame, rank: int = 1, *, as_of: AsOf = None,

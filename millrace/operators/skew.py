@@ -10,20 +10,26 @@ HOT_COPIES = 10_000
 
 
 def join_per_key(rows: DataFrame, keyed: DataFrame, on: str, copies: str = "copies",
-                 hot_keys: int = HOT_KEYS, hot_copies: int = HOT_COPIES) -> DataFrame:
+                 spread: tuple[str, ...] = ("pos",), hot_keys: int = HOT_KEYS,
+                 hot_copies: int = HOT_COPIES) -> DataFrame:
     """Inner join of ``rows`` to ``keyed``, which has one row per key and says in
-    ``copies`` how many rows share it.
+    ``copies`` how many rows share it; ``on`` is a text column.
 
     The most frequent keys (at most ``hot_keys`` of them, and only those with
-    ``hot_copies`` rows or more) are joined where their rows already are, by a
-    broadcast whose size that limit bounds. All other rows meet their key in a
-    shuffle join; any key left there has fewer than 1/``hot_keys`` of all rows.
-    The two parts are disjoint and together complete.
+    ``hot_copies`` rows or more) are broadcast; that limit bounds the size. Rows that
+    found their key this way take part in the shuffle join for all others under a
+    salt made of the ``spread`` columns, which matches nothing, so they are dealt out
+    evenly. A key that does meet its rows in the shuffle has fewer than
+    1/``hot_keys`` of all rows. ``rows`` is read once, and no row is lost.
     """
     hot = (keyed.filter(F.col(copies) >= hot_copies)
            .orderBy(F.desc(copies), on).limit(hot_keys))
-    hot_names = F.broadcast(hot.select(on))
-    in_place = rows.join(F.broadcast(hot), on)
-    shuffled = (rows.join(hot_names, on, "left_anti")
-                .join(keyed.join(hot_names, on, "left_anti"), on))
-    return in_place.unionByName(shuffled)
+    rest = [c for c in keyed.columns if c != on]
+    marked = rows.join(F.broadcast(hot.select(on, F.struct(*rest).alias("_hot"))), on, "left")
+    salt = F.concat(F.lit("#"), F.xxhash64(*spread).cast("string"))
+    cold = keyed.select(F.col(on).alias("_key"), F.struct(*rest).alias("_cold"))
+    joined = (marked.withColumn("_key", F.when(F.col("_hot").isNull(), F.col(on)).otherwise(salt))
+              .join(cold, "_key", "left"))
+    found = F.coalesce("_hot", "_cold")
+    return (joined.withColumn("_found", found).filter(F.col("_found").isNotNull())
+            .select(*rows.columns, "_found.*"))
