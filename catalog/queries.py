@@ -745,7 +745,7 @@ def lineage_fallback(spark, sf):
 def run_lineage(spark, sf):
     """G4"""
     rows = dedupe.with_fingerprint(T.canonical(spark, sf))
-    kept = dedupe.first_occurrences(rows.filter(validate.passes_all()))
+    kept = dedupe.first_occurrences(validate.valid_records(rows))
     return lineage.run_lineage(rows, kept).groupBy("source", "stage_no", "stage", "status").agg(
         F.count(F.lit(1)).alias("steps"))
 

@@ -70,7 +70,9 @@ def _scores(as_of: AsOf) -> dict[str, Column]:
         "validity": _percent(F.col("valid_rows"), n),
         "consistency": _percent(F.col("consistent_rows"), n),
         "uniqueness": F.coalesce(_percent(F.col("unique_rows"), n), F.lit(100.0)),
-        "freshness": F.coalesce(fresh, F.lit(K.FRESHNESS_DEFAULT)),
+        # The clamp itself would turn an unknown age into the lowest score.
+        "freshness": F.when(F.col("newest_ingested_at").isNotNull(), fresh)
+        .otherwise(K.FRESHNESS_DEFAULT),
     }
     return {name: F.when(n == 0, 100.0).otherwise(score) for name, score in scores.items()}
 

@@ -60,6 +60,8 @@ def _attempt(spark: SparkSession, spec: SourceSpec, folder: str, timeout: float)
 
     def work() -> None:
         spark.addTag(tag)
+        # Running tasks are interrupted too, not only their job given up.
+        spark.sparkContext.setLocalProperty("spark.job.interruptOnCancel", "true")
         try:
             result["rows"] = _write_raw(spark, spec, folder, stopped)
         except BaseException as error:  # noqa: BLE001 - reported by the caller

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.asof import AsOf
-from millrace.functions.rules import passes_all
 from millrace.operators.dedupe import with_fingerprint
 from millrace.operators.events import run_state, source_state
 from millrace.operators.normalize import normalize_feed
+from millrace.operators.validate import valid_records
 from millrace.plans.ingest import analyse_run, close_run, store_batch
 from millrace.sinks.tables import Tables
 from millrace.sources.loader import Outcome
@@ -22,10 +22,11 @@ from millrace import schemas
 def stream_feed(spark: SparkSession, path: str, source: str, rank: int, fmt: str = "json", *,
                 schema: T.StructType | None = None, position: str | None = None,
                 as_of: AsOf = None, options: dict[str, str] | None = None) -> DataFrame:
-    """One feed as a stream of canonical rows; the schema is explicit, as streams need."""
+    """One feed as a stream of canonical rows; the schema is explicit, as streams need.
+    Without a ``position`` column rows get their place when their batch is stored."""
     raw = (spark.readStream.options(**(options or {})).schema(schema or schemas.RAW[source])
            .format(fmt).load(path))
-    place = F.col(position) if position else F.monotonically_increasing_id()
+    place = F.col(position) if position else F.lit(None).cast("bigint")
     return normalize_feed(raw.withColumn("pos", place), source, rank, as_of=as_of)
 
 
@@ -36,7 +37,7 @@ def drop_recent_duplicates(canonical: DataFrame, delay: str = "1 day") -> DataFr
     For consumers without the record store; ``start_ingest`` compares with the
     whole store instead and keeps the lowest source rank inside a batch.
     """
-    return (with_fingerprint(canonical.filter(passes_all())).withWatermark("ingested_at", delay)
+    return (with_fingerprint(valid_records(canonical)).withWatermark("ingested_at", delay)
             .dropDuplicatesWithinWatermark(["record_hash"]))
 
 
@@ -54,7 +55,8 @@ def start_ingest(spark: SparkSession, tables: Tables, canonical: DataFrame, chec
         run_id, session = first_run_id + batch_id, batch.sparkSession
         here = tables.in_session(session)
         started, clock = datetime.now(timezone.utc), time.perf_counter()
-        counts, inserted = store_batch(session, here, batch, run_id)
+        placed = batch.withColumn("pos", F.coalesce("pos", F.monotonically_increasing_id()))
+        counts, inserted = store_batch(session, here, placed, run_id)
         elapsed = (time.perf_counter() - clock) * 1000
         outcomes = [Outcome(name, "SUCCESS", received, elapsed, None, 1, None)
                     for name, (received, _, _) in sorted(counts.items())]
