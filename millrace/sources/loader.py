@@ -59,7 +59,7 @@ def _attempt(spark: SparkSession, spec: SourceSpec, folder: str, timeout: float)
     stopped, result = threading.Event(), {}
 
     def work() -> None:
-        spark.addTag(tag)
+        spark.sparkContext.addJobTag(tag)
         # Running tasks are interrupted too, not only their job given up.
         spark.sparkContext.setLocalProperty("spark.job.interruptOnCancel", "true")
         try:
@@ -67,14 +67,14 @@ def _attempt(spark: SparkSession, spec: SourceSpec, folder: str, timeout: float)
         except BaseException as error:  # noqa: BLE001 - reported by the caller
             result["error"] = error
         finally:
-            spark.removeTag(tag)
+            spark.sparkContext.removeJobTag(tag)
 
     thread = threading.Thread(target=inheritable_thread_target(spark)(work), daemon=True)
     thread.start()
     thread.join(timeout)
     if thread.is_alive():
         stopped.set()
-        spark.interruptTag(tag)
+        spark.sparkContext.cancelJobsWithTag(tag)
         raise TimeoutError
     if "error" in result:
         raise result["error"]
