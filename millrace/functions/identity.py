@@ -12,8 +12,12 @@ def _part(c: Column | str) -> Column:
 
 
 def fingerprint(record_id: Column | str = "record_id", email: Column | str = "email") -> Column:
-    """Hex SHA-256 of the trimmed, lower-cased id and email."""
-    return F.sha2(F.concat_ws("|", _part(record_id), _part(email)), 256)
+    """Hex SHA-256 of the trimmed, lower-cased id and email.
+
+    Never null; saying so keeps joins on it from adding a filter that would compute
+    the digest a second time.
+    """
+    return F.coalesce(F.sha2(F.concat_ws("|", _part(record_id), _part(email)), 256), F.lit(""))
 
 
 def content_id(prefix: str, *parts: Column | str) -> Column:

@@ -111,12 +111,14 @@ def store_batch(spark: SparkSession, tables: Tables, canonical: DataFrame, run_i
     tables.replace_run("rejects", rejected_records(staged.filter("not valid")), run_id)
     tables.replace_run("duplicates", duplicate_report(valid), run_id)
     inserted = tables.save_records(valid, run_id)
-    rows = staged.groupBy("source").agg(F.count(F.lit(1)).alias("received"),
-                                        F.count_if("valid").alias("valid"))
-    kept = (first_occurrences(valid.select("record_hash", "source", "source_rank", "pos"))
-            .groupBy("source").agg(F.count(F.lit(1)).alias("kept")))
-    counts = {r["source"]: (r["received"], r["valid"], r["kept"] or 0)
-              for r in rows.join(kept, "source", "left").collect()}
+    received = staged.groupBy("source").agg(F.count(F.lit(1)).alias("received"),
+                                            F.count_if("valid").alias("valid"))
+    # Every valid row is either kept or in the report just written.
+    dropped = (tables.read("duplicates").filter(F.col("run_id") == run_id)
+               .groupBy(F.col("duplicate_source").alias("source"))
+               .agg(F.count(F.lit(1)).alias("dropped")))
+    counts = {r["source"]: (r["received"], r["valid"], r["valid"] - (r["dropped"] or 0))
+              for r in received.join(dropped, "source", "left").collect()}
     return counts, inserted
 
 

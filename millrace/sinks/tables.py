@@ -97,8 +97,11 @@ class Tables:
         run = F.lit(run_id) if run_id is not None else (
             F.col("run_id") if "run_id" in batch.columns else F.lit(None))
         added = Observation()
-        fresh = (new_records(require_hash(batch), self.read("records"))
-                 .withColumn("run_id", run.cast("bigint"))
+        fresh = new_records(require_hash(batch), self.read("records"))
+        if self.buckets != int(self.spark.conf.get("spark.sql.shuffle.partitions")):
+            # Else the rows already lie in as many partitions as there are buckets.
+            fresh = fresh.repartition(self.buckets, "record_hash")
+        fresh = (fresh.withColumn("run_id", run.cast("bigint"))
                  .withColumnRenamed("record_id", "source_record_id")
                  .observe(added, F.count(F.lit(1)).alias("rows")))
         self.append("records", fresh)
