@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace import contract as K
@@ -135,7 +133,3 @@ def run_lineage(canonical: DataFrame, kept: DataFrame, at: Column | None = None)
         _step(5, dedup, at, _details(fingerprint_hash=F.col("record_hash"))),
         _step(6, saved, at, _details(persisted_to=K.LINEAGE_STORE)))
     return _explode(rows, steps)
-
-
-def union_steps(*parts: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace import contract as K
 from millrace.functions.asof import AsOf, as_instant
+from millrace.functions.instants import parse_iso
 from millrace.functions.render import round_even
 
 
@@ -24,6 +25,16 @@ def _missing(records: DataFrame, name: str) -> Column:
     return col.isNull()
 
 
+def _arrival(records: DataFrame) -> tuple[Column, Column]:
+    """Arrival time of a row, and whether it is text that is no time."""
+    if "ingested_at" not in records.columns:
+        return F.lit(None).cast("timestamp"), F.lit(False)
+    if records.schema["ingested_at"].dataType.simpleString() != "string":
+        return F.col("ingested_at").cast("timestamp"), F.lit(False)
+    at = parse_iso("ingested_at")
+    return at, F.col("ingested_at").isNotNull() & at.isNull()
+
+
 def _counters(records: DataFrame) -> list[Column]:
     missing = {c: _missing(records, c) for c in K.QUALITY_FIELDS}
     text = F.coalesce(F.col("email"), F.lit("")) if "email" in records.columns else F.lit("")
@@ -31,17 +42,17 @@ def _counters(records: DataFrame) -> list[Column]:
     valid = (text.contains("@") & text.contains(".")
              & value.isNotNull() & ~F.coalesce(value < 0, F.lit(False)))
     consistent = (text == F.lower(text)) & ~missing["created_at"]
-    newest = (F.max("ingested_at") if "ingested_at" in records.columns
-              else F.max(F.lit(None).cast("timestamp")))
+    arrived, unreadable = _arrival(records)
     return [F.count(F.lit(1)).alias("rows"),
             *[F.count_if(cond).alias(f"missing_{name}") for name, cond in missing.items()],
             F.count_if(valid).alias("valid_rows"),
             F.count_if(consistent).alias("consistent_rows"),
-            newest.alias("newest_ingested_at")]
+            F.max(arrived).alias("newest_ingested_at"),
+            F.count_if(unreadable).alias("unreadable_rows")]
 
 
 _SUMS = ["rows", "missing_name", "missing_email", "missing_value", "missing_created_at",
-         "valid_rows", "consistent_rows"]
+         "valid_rows", "consistent_rows", "unreadable_rows"]
 
 
 def quality_profile(records: DataFrame, by: Sequence[str] = ("source",)) -> DataFrame:
@@ -71,8 +82,8 @@ def _scores(as_of: AsOf) -> dict[str, Column]:
         "consistency": _percent(F.col("consistent_rows"), n),
         "uniqueness": F.coalesce(_percent(F.col("unique_rows"), n), F.lit(100.0)),
         # The clamp itself would turn an unknown age into the lowest score.
-        "freshness": F.when(F.col("newest_ingested_at").isNotNull(), fresh)
-        .otherwise(K.FRESHNESS_DEFAULT),
+        "freshness": F.when(F.col("unreadable_rows") > 0, K.FRESHNESS_UNREADABLE)
+        .when(F.col("newest_ingested_at").isNotNull(), fresh).otherwise(K.FRESHNESS_DEFAULT),
     }
     return {name: F.when(n == 0, 100.0).otherwise(score) for name, score in scores.items()}
 

@@ -17,9 +17,10 @@ from millrace.operators.anomaly import detect_value_anomalies, run_anomalies, va
 from millrace.operators.dedupe import duplicate_report, first_occurrences, with_fingerprint
 from millrace.operators.events import lifecycle_events
 from millrace.operators.health import pipeline_health
+from millrace.operators.lineage import lineage_with_fallback, nest_lineage
 from millrace.operators.normalize import union_feeds
 from millrace.operators.quality import quality_snapshot
-from millrace.operators.reads import latest_snapshot
+from millrace.operators.reads import by_id, latest_snapshot
 from millrace.operators.validate import rejected_records, valid_records
 from millrace.sinks.tables import Tables
 from millrace.sources.feeds import SourceSpec, frame_source
@@ -239,5 +240,10 @@ def health_or_compute(tables: Tables, as_of: AsOf = None) -> DataFrame:
     return latest_snapshot(tables.read("pipeline_health"), "updated_at")
 
 
-__all__ = ["Batch", "analyse_run", "close_run", "health_or_compute", "quality_or_compute", "replay_run",
-           "run_ingestion", "source_summary", "store_batch"]
+def lineage_of(tables: Tables, record_id: str | None = None) -> DataFrame:
+    """Lineage of one record id or of all, nested; what is not stored yet is rebuilt
+    from the records and stored. An unknown id gives no rows."""
+    _, rebuilt = lineage_with_fallback(tables.read("data_lineage"), tables.records(), record_id)
+    tables.save_lineage(rebuilt)
+    return nest_lineage(by_id(tables.read("data_lineage"), record_id, "record_id")
+                        if record_id is not None else tables.read("data_lineage"))

@@ -70,6 +70,10 @@ def test_quality_of_nothing_and_missing_columns(spark):
     bare = records(spark, [rec(1)]).drop("name", "record_hash", "ingested_at")
     row = quality.quality_scores(bare, AS_OF).first()
     assert (row["completeness"], row["uniqueness"], row["freshness"]) == (75.0, 100.0, 95.0)
+    text = records(spark, [rec(1), rec(2)]).withColumn("ingested_at", F.lit("2026-09-22T14:00:00Z"))
+    assert quality.quality_scores(text, AS_OF).first()["freshness"] == 80.0
+    text = text.withColumn("ingested_at", F.when(F.col("record_id") == "r1", "soon"))
+    assert quality.quality_snapshot(text, 1, AS_OF).first()["freshness"] == 90.0
     assert quality.quality_scores(records(spark, [rec(i) for i in range(5)]), AS_OF,
                                   limit=2).first()["rows"] == 2
 

@@ -6,9 +6,13 @@ import time
 
 import golden
 import pytest
+from pyspark.sql import functions as F
+
 from millrace import schemas
+from millrace.operators.dedupe import with_fingerprint
 from millrace.operators.events import lifecycle_events
-from millrace.plans.ingest import (health_or_compute, quality_or_compute, replay_run,
+from millrace.operators.validate import valid_records
+from millrace.plans.ingest import (health_or_compute, lineage_of, quality_or_compute, replay_run,
                                    run_ingestion)
 from millrace.sinks.tables import Tables
 from millrace.sources.feeds import (SourceSpec, file_source, frame_source, payload_source,
@@ -148,6 +152,19 @@ def test_partial_run_and_recovery(spark, tmp_path):
     assert tables.records().count() == 22 and tables.next_run_id() == 3
 
 
+def test_lineage_is_stored_on_first_read(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path), "lineage", buckets=4).create()
+    rows = valid_records(golden.canonical(spark))
+    assert tables.save_records(with_fingerprint(rows), 1) == 22
+    first = lineage_of(tables, "B-003").first()
+    assert (first["source"], first["final_status"], len(first["steps"])) == ("Source B", "STORED", 6)
+    assert tables.read("data_lineage").count() == 6
+    assert lineage_of(tables, "B-003").first() == first
+    assert lineage_of(tables, "nobody").count() == 0
+    assert lineage_of(tables).count() == 22
+    assert tables.read("data_lineage").count() == 132
+
+
 def test_tables(spark, tmp_path):
     tables = Tables(spark, str(tmp_path), "tables", buckets=4).create().create()
     assert quality_or_compute(tables).first()["overall_score"] == 100.0
