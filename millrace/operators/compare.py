@@ -82,9 +82,9 @@ def compare_runs(measured: DataFrame, latest: int | None = None,
             raise ValueError("no runs to compare")
         latest, previous = ids[0], ids[-1]
     row = F.struct(*measured.columns)
-    a = measured.filter(F.col("run_id") == latest).select(F.lit(1).alias("k"), row.alias("a"))
-    b = measured.filter(F.col("run_id") == previous).select(F.lit(1).alias("k"), row.alias("b"))
-    return _metric_rows(a.join(b, "k"))
+    before = measured.filter(F.col("run_id") == previous).select(row).scalar()
+    return _metric_rows(measured.filter(F.col("run_id") == latest)
+                        .select(row.alias("a"), before.alias("b")))
 
 
 def replay_candidates(runs: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ import threading
 import time
 
 import golden
-import pytest
 from pyspark.sql import functions as F
 
 from millrace import schemas
