@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -44,8 +45,12 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for intermediate tables that every executor can reach: under the
-    cluster's ``spark.checkpoint.dir``, or a temporary one where that is unset."""
+    cluster's ``spark.checkpoint.dir``, else under the warehouse. Only a single-machine
+    session without the setting gets a temporary folder."""
+    name = f"millrace-{purpose}-{uuid.uuid4().hex}"
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
-        return f"{base.rstrip('/')}/millrace-{purpose}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"millrace-{purpose}-")
+        return f"{base.rstrip('/')}/{name}"
+    if re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+        return tempfile.mkdtemp(prefix=f"millrace-{purpose}-")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}"
