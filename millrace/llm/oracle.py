@@ -14,3 +14,32 @@ select doc_id,
        digest as text_sha256
 from rows
 """
+
+ORACLE["op4_jaccard_join"] = r"""
+with recursive split as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+    from documents),
+shingles as (
+    select distinct doc_id, unnest(case when len(w) >= 5
+        then list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' '))
+        when len(w) > 0 then [list_aggregate(w, 'string_agg', ' ')] else [] end) as s
+    from split),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+pairs as (
+    select a.doc_id as x, b.doc_id as y, count(*) as o
+    from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id
+    group by 1, 2),
+links as (
+    select x, y from pairs join sizes p on p.doc_id = x join sizes q on q.doc_id = y
+    where 100 * o >= 80 * (p.n + q.n - o)),
+edges as (select x, y from links union all select y, x from links),
+reach as (
+    select x, y from edges
+    union
+    select reach.x, edges.y from reach join edges on reach.y = edges.x)
+select d.doc_id, coalesce(any_value(n), 0) as n_shingles,
+       least(d.doc_id, coalesce(min(reach.y), d.doc_id)) as component_id
+from documents d left join sizes using (doc_id) left join reach on reach.x = d.doc_id
+group by d.doc_id
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact_dedup as dedup
+from millrace.llm import exact_dedup as dedup, jaccard
 from millrace.llm.tables import table
 from millrace.session import configure
 
@@ -22,6 +22,12 @@ def query(fn):
     return run
 
 
+@query
+def op4_jaccard_join(spark, sf):
+    """Every document's set size and component of similar texts."""
+    return jaccard.jaccard_components(table(spark, sf, "documents"))
+
+
 @query
 def op6_exact_dedup(spark, sf):
     """Every document's group of equal texts and who stays."""
