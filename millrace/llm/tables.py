@@ -21,7 +21,7 @@ def documents(frame: DataFrame, *columns: str) -> DataFrame:
     return frame.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *columns)
 
 
-def numbered(frame: DataFrame, key: str, order: str, name: str, rows: int,
+def numbered(frame: DataFrame, key: str, order: list[str], name: str, rows: int,
              per_part: int = 2_000) -> DataFrame:
     """``name``: 0, 1, 2, ... without gaps among the rows of each ``key``.
 
@@ -30,12 +30,12 @@ def numbered(frame: DataFrame, key: str, order: str, name: str, rows: int,
     the parts before them end. No task needs all rows of a key.
     """
     parts = max(1, -(-rows // per_part))
-    cut = frame.withColumn("_part", F.pmod(F.xxhash64(order), F.lit(parts)))
+    cut = frame.withColumn("_part", F.pmod(F.xxhash64(*order), F.lit(parts)))
     before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (cut.groupBy(key, "_part").agg(F.count("*").alias("_rows"))
               .withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
               .drop("_rows"))
-    inside = Window.partitionBy(key, "_part").orderBy(order)
+    inside = Window.partitionBy(key, "_part").orderBy(*order)
     return (cut.withColumn("_at", F.row_number().over(inside) - 1)
             .join(starts, [key, "_part"])
             .withColumn(name, (F.col("_start") + F.col("_at")).cast("long"))
