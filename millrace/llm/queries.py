@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact_dedup as dedup, jaccard
+from millrace.llm import exact_dedup as dedup, jaccard, packing, token_lengths
 from millrace.llm.tables import table
+from millrace.llm.tokens import tokenizer_path
 from millrace.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,12 +23,25 @@ def query(fn):
     return run
 
 
+@query
+def op3_length_histogram(spark, sf):
+    """Documents and tokens by encoded length, with suffix sums for every limit."""
+    counted = token_lengths.histogram(table(spark, sf, "documents"), tokenizer_path())
+    return token_lengths.with_suffix_sums(counted)
+
+
 @query
 def op4_jaccard_join(spark, sf):
     """Every document's set size and component of similar texts."""
     return jaccard.jaccard_components(table(spark, sf, "documents"))
 
 
+@query
+def op5_best_fit_packing(spark, sf):
+    """Where every piece of every document lies in sequences of 4096 tokens."""
+    return packing.pack(table(spark, sf, "documents"), tokenizer_path())
+
+
 @query
 def op6_exact_dedup(spark, sf):
     """Every document's group of equal texts and who stays."""
