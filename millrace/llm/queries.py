@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact_dedup as dedup, jaccard, packing, token_lengths
+from millrace.llm import exact_dedup as dedup, jaccard, packing, token_lengths, toxicity
 from millrace.llm.tables import table
 from millrace.llm.tokens import tokenizer_path
 from millrace.session import configure
@@ -47,3 +47,9 @@ def op6_exact_dedup(spark, sf):
     """Every document's group of equal texts and who stays."""
     docs = table(spark, sf, "documents")
     return dedup.exact_dedup(docs, dedup.earlier_half(docs))
+
+
+@query
+def op10_toxicity(spark, sf):
+    """Every document's toxicity score."""
+    return toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"))

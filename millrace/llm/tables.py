@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from millrace.session import shared_folder
 
@@ -42,5 +44,30 @@ def numbered(frame: DataFrame, key: str, order: list[str], name: str, rows: int,
             .drop("_part", "_at", "_start"))
 
 
+FILTER_BITS = 24
+
+
+def id_place(name: str) -> Column:
+    """Where an id falls in the bit table of id_filter()."""
+    return F.pmod(F.xxhash64(name), F.lit(1 << FILTER_BITS))
+
+
+def id_filter(frame: DataFrame, name: str) -> np.ndarray:
+    """Bit table (2 MB at any size) that passes every id of a column and, while it is not
+    full, few others: rows that cannot take part in a later exact join stay where they are."""
+    place = id_place(name)
+    bit = F.expr("shiftleft(1L, cast(place % 64 as int))")
+    rows = (frame.select(place.alias("place")).withColumn("word", F.floor(F.col("place") / 64))
+            .groupBy("word").agg(F.bit_or(bit).alias("bits")).toPandas())
+    held = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    held[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
+    return held
+
+
+def passes(held: np.ndarray, place: pa.Array) -> np.ndarray:
+    place = place.to_numpy(zero_copy_only=False)
+    return ((held[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
