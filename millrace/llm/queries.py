@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact_dedup as dedup, jaccard, packing, token_lengths, toxicity
+from millrace.llm import (decontaminate, exact_dedup as dedup, jaccard, packing, token_lengths,
+                          toxicity)
 from millrace.llm.tables import table
 from millrace.llm.tokens import tokenizer_path
 from millrace.session import configure
@@ -23,6 +24,12 @@ def query(fn):
     return run
 
 
+@query
+def op1_decontaminate(spark, sf):
+    """Documents that hold test items, with the overlap found."""
+    return decontaminate.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 @query
 def op3_length_histogram(spark, sf):
     """Documents and tokens by encoded length, with suffix sums for every limit."""
