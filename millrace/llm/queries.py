@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import (decontaminate, exact_dedup as dedup, jaccard, packing, token_lengths,
-                          toxicity)
-from millrace.llm.tables import table
+from millrace.llm import (decontaminate, exact_dedup as dedup, jaccard, packing, shards,
+                          token_lengths, toxicity)
+from millrace.llm.tables import staged, table
 from millrace.llm.tokens import tokenizer_path
 from millrace.session import configure
 
@@ -30,10 +30,17 @@ def op1_decontaminate(spark, sf):
     return decontaminate.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+@query
+def op2_shards(spark, sf):
+    """Every document's place in 24 shards of near equal bytes."""
+    return shards.shard(table(spark, sf, "documents"), 24)
+
+
 @query
 def op3_length_histogram(spark, sf):
     """Documents and tokens by encoded length, with suffix sums for every limit."""
-    counted = token_lengths.histogram(table(spark, sf, "documents"), tokenizer_path())
+    counted = staged(token_lengths.histogram(table(spark, sf, "documents"), tokenizer_path()),
+                     "lengths")
     return token_lengths.with_suffix_sums(counted)
 
 
