@@ -43,3 +43,60 @@ select d.doc_id, coalesce(any_value(n), 0) as n_shingles,
 from documents d left join sizes using (doc_id) left join reach on reach.x = d.doc_id
 group by d.doc_id
 """
+
+
+def _ranks(rounds: int = 10) -> str:
+    """The rounds of the two personalised PageRanks, one table each."""
+    return ",\n".join(f"""r{k} as (
+    select kind, host, sum(rank) as rank from (
+        select r.kind, dst as host, rank * share * 0.85 as rank
+        from {f"r{k - 1}" if k > 1 else "seeds"} r join shares s on r.kind = s.kind and r.host = s.src
+        union all select kind, host, rank * (1 - 0.85) from seeds)
+    group by kind, host)""" for k in range(1, rounds + 1))
+
+
+ORACLE["op7_url_filter"] = r"""
+with rest as (
+    select page_id, coalesce(html, '') as html,
+           case when instr(coalesce(url, ''), '://') > 0
+                then substr(url, instr(url, '://') + 3) else '' end as rest
+    from pages),
+parts as (
+    select page_id, html,
+           translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz') as host,
+           regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') as path
+    from rest),
+rules(h, p, says) as (values ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+    ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+fitting as (
+    select page_id, arg_max(h || p, length(h || p)) as rule, arg_max(says, length(h || p)) as says
+    from parts join rules on (host = h or ends_with(host, '.' || h)) and starts_with(path, p)
+    group by page_id),
+rows as (select page_id, html, host, path, rule, says from parts left join fitting using (page_id)),
+links as (
+    select host as src, translate(unnest(regexp_extract_all(html,
+        '(?i)href\s*=\s*["'']?\s*(?:https?:)?//([^/?#"''\s>]+)', 1)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as dst
+    from rows where host <> ''),
+names as (select host from rows union select dst from links),
+own as (select host, substr(host, instr(host, '.') + 1) as domain from names where host like '%.%.%'),
+edges as (
+    select src, dst, sum(n) as n from (
+        select src, dst, count(*) as n from links group by 1, 2
+        union all select host, domain, 1 from own union all select domain, host, 1 from own)
+    where src <> dst group by src, dst),
+directed as (select 'trust' as kind, src, dst, n from edges
+             union all select 'distrust', dst, src, n from edges),
+shares as (select kind, src, dst, n / sum(n) over (partition by kind, src) as share from directed),
+marked as (
+    select case says when 'allow' then 'trust' else 'distrust' end as kind, host, count(*) as n
+    from rows where says is not null and host <> '' group by 1, 2),
+seeds as (select kind, host, n / sum(n) over (partition by kind) as rank from marked),
+""" + _ranks() + r""",
+per as (select host, sum(case kind when 'distrust' then rank else -rank end) > 1e-9 as distrusted
+        from r10 group by host)
+select page_id, host, path, rule,
+       coalesce(says, case when distrusted then 'block' else 'allow' end) as verdict
+from rows left join per using (host)
+"""

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import (decontaminate, exact_dedup as dedup, jaccard, packing, shards,
-                          token_lengths, toxicity)
+from millrace.llm import (decontaminate, exact_dedup as dedup, jaccard, language, packing, shards,
+                          token_lengths, toxicity, url_trust)
 from millrace.llm.tables import staged, table
 from millrace.llm.tokens import tokenizer_path
 from millrace.session import configure
@@ -63,6 +63,18 @@ def op6_exact_dedup(spark, sf):
     return dedup.exact_dedup(docs, dedup.earlier_half(docs))
 
 
+@query
+def op7_url_filter(spark, sf):
+    """Every page's verdict by rule or by the trust of its host."""
+    return url_trust.judge(table(spark, sf, "pages"))
+
+
+@query
+def op9_language(spark, sf):
+    """Every document's language."""
+    return language.identify(table(spark, sf, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 @query
 def op10_toxicity(spark, sf):
     """Every document's toxicity score."""
