@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import (decontaminate, exact_dedup as dedup, jaccard, language, packing, shards,
-                          token_lengths, toxicity, url_trust)
+from millrace.llm import (decontaminate, exact_dedup as dedup, jaccard, language, packing,
+                          secrets_forest, shards, token_lengths, toxicity, url_trust)
 from millrace.llm.tables import staged, table
 from millrace.llm.tokens import tokenizer_path
 from millrace.session import configure
@@ -69,6 +69,13 @@ def op7_url_filter(spark, sf):
     return url_trust.judge(table(spark, sf, "pages"))
 
 
+@query
+def op8_secret_scan(spark, sf):
+    """Every candidate secret and how sure the forest is; two thirds of the rows teach."""
+    return secrets_forest.scan(table(spark, sf, "documents"), tokenizer_path(),
+                               F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
+
+
 @query
 def op9_language(spark, sf):
     """Every document's language."""
