@@ -654,3 +654,12 @@ ORACLE: dict[str, str] = {
         where source = 'Source C'""", "valid"),
 }
 ORACLE["stream_run_state"] = ORACLE["run_state"]
+ORACLE["ingest_repeat"] = ORACLE["ingest_run"]
+ORACLE["run_state_repeated"] = ORACLE["run_state"]
+ORACLE["ingest_files"] = sql("""
+    select case source when 'Source C' then 'Feed M' else source end as source,
+        (select count(*) from canon c where c.source = s.source) as records_received,
+        (select count(*) from kept k where k.source = s.source) as records_processed,
+        (select count(*) from valid v where v.source = s.source)
+          - (select count(*) from kept k where k.source = s.source) as duplicates
+    from (select distinct source from canon) s""", "canon", "valid", "kept")

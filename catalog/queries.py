@@ -15,7 +15,7 @@ from millrace.operators import (alerts, anomaly, compare, dedupe, events, health
 from millrace.plans.ingest import run_ingestion, source_summary
 from millrace.session import configure, shared_folder
 from millrace.sinks.tables import Tables
-from millrace.sources.feeds import frame_source
+from millrace.sources.feeds import file_source, frame_source, payload_source
 from millrace.streaming import ingest as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -849,7 +849,7 @@ def ingest_run(spark, sf):
     specs = [frame_source("Source A", 1, T.raw_a(spark, sf), "pos"),
              frame_source("Source B", 2, T.raw_b(spark, sf), "pos"),
              frame_source("Source C", 3, T.raw_c(spark, sf), "pos")]
-    run = run_ingestion(spark, tables, specs, as_of=T.AS_OF, timeout=3600.0, forest=False)
+    run = run_ingestion(spark, tables, specs, as_of=T.AS_OF, forest=False)
     stored = tables.read("records").agg(F.count(F.lit(1))).scalar()
     rejected = tables.read("rejects").agg(F.count(F.lit(1))).scalar()
     twice = tables.read("duplicates").agg(F.count(F.lit(1))).scalar()
@@ -857,6 +857,55 @@ def ingest_run(spark, sf):
                       rejected.alias("rejects"), twice.alias("duplicates"))
 
 
+def _new_tables(spark, purpose: str) -> Tables:
+    root = shared_folder(spark, purpose)
+    return Tables(spark, root, "millrace_" + root.rsplit("-", 1)[1].lower()).create()
+
+
+@query
+def ingest_files(spark, sf):
+    """Feeds read from CSV and JSON files of unequal size, numbers partly
+    sent as text, one feed with payloads of mixed schema; each source's status"""
+    tables = _new_tables(spark, "files")
+    a, b, c = (f"{tables.root}/in/{n}" for n in "abc")
+    T.raw_a(spark, sf).drop("pos").repartition(3, "id").write.csv(a, header=True)
+    rows = T.raw_b(spark, sf)
+    names = [n for n in rows.columns if n != "pos"]
+    text = rows.withColumn("value", F.col("value").cast("string"))
+    for part, frame in (("even", rows.filter("pos % 2 = 0")), ("odd", text.filter("pos % 2 = 1"))):
+        frame.select(names).write.json(f"{b}/{part}")
+    T.raw_c(spark, sf).drop("pos").write.json(c)
+    run_ingestion(spark, tables, [
+        file_source("Source A", 1, a, "csv", options={
+            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}),
+        file_source("Source B", 2, [f"{b}/even", f"{b}/odd"], "json"),
+        payload_source("Feed M", 3, c)], as_of=T.AS_OF, forest=False)
+    return tables.sources().select("source", "records_received", "records_processed", "duplicates")
+
+
+@query
+def ingest_repeat(spark, sf):
+    """A1, K2: the same run twice under one run id changes nothing"""
+    tables = _new_tables(spark, "repeat")
+    specs = [frame_source("Source A", 1, T.raw_a(spark, sf), "pos"),
+             frame_source("Source B", 2, T.raw_b(spark, sf), "pos"),
+             frame_source("Source C", 3, T.raw_c(spark, sf), "pos")]
+    for _ in range(2):
+        run = run_ingestion(spark, tables, specs, run_id=1, as_of=T.AS_OF, forest=False)
+    counts = [tables.read(t).agg(F.count(F.lit(1))).scalar().alias(n) for t, n in
+              (("records", "stored"), ("rejects", "rejects"), ("duplicates", "duplicates"))]
+    return run.select(*RUN, "total_inserted", *counts)
+
+
+@query
+def run_state_repeated(spark, sf):
+    """A run that ended PARTIAL first and was then repeated"""
+    rows = events.lifecycle_events(T.runs_with_results(spark, sf))
+    early = rows.withColumns({"timestamp": F.expr("timestamp - interval 1 day"), "status": F.when(
+        F.col("event") == "INGESTION_COMPLETED", "PARTIAL"), "records": F.lit(None).cast("bigint")})
+    return iso(events.run_state(early.unionByName(rows)), "last_at")
+
+
 @query
 def stream_ingest(spark, sf):
     """7.5, D5: feed C as a stream into tables; the kept records"""
@@ -889,10 +938,13 @@ def stream_run_state(spark, sf):
     rows.write.mode("overwrite").parquet(f"{root}/events")
     arriving = spark.readStream.schema(rows.schema).parquet(f"{root}/events")
 
+    newest = []
+
     def keep(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/state/{batch_id}")
+        newest[:] = [batch_id]
 
     (streaming.stream_run_state(arriving).writeStream.outputMode("complete")
      .foreachBatch(keep).option("checkpointLocation", f"{root}/checkpoint")
      .trigger(availableNow=True).start().awaitTermination())
-    return iso(spark.read.parquet(f"{root}/state/0"), "last_at")
+    return iso(spark.read.parquet(f"{root}/state/{newest[0]}"), "last_at")

@@ -56,11 +56,15 @@ def run_alerts(runs: DataFrame, latest_only: bool = True) -> DataFrame:
 
 def cluster_alerts(anomalies: DataFrame) -> DataFrame:
     """Three or more active anomalies; more than five are HIGH."""
-    active = anomalies.agg(F.count_if(F.col("status") == "ACTIVE").alias("n"))
+    on = F.col("status") == "ACTIVE"
+    # The newest run is part of the identity: a later scan that finds as many raises again.
+    run = F.col("run_id") if "run_id" in anomalies.columns else F.lit(None).cast("bigint")
+    active = anomalies.agg(F.count_if(on).alias("n"), F.max(F.when(on, run)).alias("newest"))
     n = F.col("n")
     return _alert(active.filter(n >= K.ALERT_CLUSTER_MIN), "cluster",
                   F.when(n > K.ALERT_CLUSTER_HIGH, "HIGH").otherwise("MEDIUM"),
-                  F.lit(K.ANOMALY_ENGINE), F.lit(None).cast("bigint"), [n], [n], [n])
+                  F.lit(K.ANOMALY_ENGINE), F.lit(None).cast("bigint"), [n], [n],
+                  [n, F.col("newest")])
 
 
 def scan_alerts(sources: DataFrame, runs: DataFrame, anomalies: DataFrame, *,

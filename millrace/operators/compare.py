@@ -68,7 +68,9 @@ def compare_all(measured: DataFrame) -> DataFrame:
 def compare_runs(measured: DataFrame, latest: int | None = None,
                  previous: int | None = None) -> DataFrame:
     """Two given runs, else the latest two, else the only run with itself.
-    An unknown or missing run raises ValueError."""
+    An unknown or missing run raises ValueError, and so does one id without the other."""
+    if (latest is None) != (previous is None):
+        raise ValueError("give both runs or none")
     if latest is not None and previous is not None:
         ids = [r[0] for r in measured.filter(F.col("run_id").isin(latest, previous))
                .select("run_id").distinct().collect()]

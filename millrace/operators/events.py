@@ -88,6 +88,12 @@ def activity_feed(events: DataFrame, limit: int = K.ACTIVITY_ITEMS) -> DataFrame
     return describe_events(events.orderBy(*order).limit(limit))
 
 
+def _sources(event: str) -> Column:
+    """How many sources have the event; a repeated run says it again of the same ones."""
+    own = F.collect_set(F.when(F.col("event") == event, F.col("source")))
+    return F.size(own).cast("bigint")
+
+
 def run_state(events: DataFrame) -> DataFrame:
     """Current state of each run, folded from its events; works on a stream."""
     # Of events at the same instant the one later in the life of a run counts.
@@ -96,9 +102,9 @@ def run_state(events: DataFrame) -> DataFrame:
     return events.groupBy("run_id").agg(
         F.max_by("event", at).alias("last_event"), F.max("timestamp").alias("last_at"),
         F.max(F.col("event") == "INGESTION_COMPLETED").alias("finished"),
-        F.max("status").alias("status"),
-        F.count_if(F.col("event") == "SOURCE_COMPLETED").alias("sources_completed"),
-        F.count_if(F.col("event") == "SOURCE_FAILED").alias("sources_failed"),
+        F.max_by("status", F.when(F.col("status").isNotNull(), at)).alias("status"),
+        _sources("SOURCE_COMPLETED").alias("sources_completed"),
+        _sources("SOURCE_FAILED").alias("sources_failed"),
         F.coalesce(F.sum("records"), F.lit(0)).alias("records"))
 
 

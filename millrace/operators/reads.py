@@ -63,9 +63,10 @@ def latest_snapshot(snapshots: DataFrame, time: str = "timestamp") -> DataFrame:
 
 
 def quality_trend(snapshots: DataFrame, limit: int = K.TREND_POINTS) -> DataFrame:
-    """The newest ``limit`` (1..100) snapshots, oldest first; a snapshot without
-    a run gets its place in the list."""
-    limit = max(1, min(100, limit))
+    """The newest ``limit`` snapshots, oldest first; a snapshot without a run gets
+    its place in the list. A limit below 1 raises ValueError."""
+    if limit < 1:
+        raise ValueError("limit must be at least 1")
     order = ["timestamp", F.coalesce("run_id", F.lit(0))]
     place = F.row_number().over(W.orderBy(*order)).cast("bigint")
     newest = snapshots.orderBy(F.desc("timestamp"), F.desc(order[1])).limit(limit)

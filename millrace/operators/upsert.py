@@ -32,13 +32,13 @@ def merge_source_status(log: DataFrame, strict: bool = False) -> DataFrame:
     The last success and failure are the latest known ones; ``strict`` replaces
     them by the newest row's values, null included.
     """
-    newest = latest_by_key(log, ["source"], ["run_id", "updated_at"])
     if strict:
-        return newest
-    seen = log.groupBy("source").agg(F.max("last_success").alias("last_success"),
-                                     F.max("last_failure").alias("last_failure"))
-    return (newest.drop("last_success", "last_failure").join(seen, "source")
-            .select(*log.columns))
+        return latest_by_key(log, ["source"], ["run_id", "updated_at"])
+    newest = F.max_by(F.struct(*log.columns), F.struct("run_id", "updated_at")).alias("_new")
+    seen = (log.groupBy("source").agg(newest, F.max("last_success").alias("_success"),
+                                      F.max("last_failure").alias("_failure")))
+    known = {"last_success": "_success", "last_failure": "_failure"}
+    return seen.select(*[F.col(known.get(c, f"_new.{c}")).alias(c) for c in log.columns])
 
 
 def insert_absent(batch: DataFrame, stored: DataFrame, key: str = "id") -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
-from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
@@ -14,38 +13,19 @@ from millrace.functions.asof import AsOf, as_instant
 from millrace.functions.rules import passes_all
 from millrace.operators.alerts import scan_alerts
 from millrace.operators.anomaly import detect_value_anomalies, run_anomalies, value_anomalies
-from millrace.operators.dedupe import duplicate_report, first_occurrences, with_fingerprint
+from millrace.operators.dedupe import duplicate_report, with_fingerprint
 from millrace.operators.events import lifecycle_events
 from millrace.operators.health import pipeline_health
 from millrace.operators.lineage import lineage_with_fallback, nest_lineage
 from millrace.operators.normalize import union_feeds
 from millrace.operators.quality import quality_snapshot
 from millrace.operators.reads import by_id, latest_snapshot
-from millrace.operators.validate import rejected_records, valid_records
+from millrace.operators.validate import rejected_records
 from millrace.sinks.tables import Tables
-from millrace.sources.feeds import SourceSpec, frame_source
+from millrace.sources.feeds import SourceSpec, stored_source
 from millrace.sources.loader import Outcome, load_sources, outcome_frame, read_raw
 
 
-@dataclass
-class Batch:
-    """The DataFrames of one run, all lazy."""
-
-    canonical: DataFrame
-    valid: DataFrame = field(init=False)
-    unique: DataFrame = field(init=False)
-
-    def __post_init__(self) -> None:
-        self.valid = with_fingerprint(valid_records(self.canonical))
-        self.unique = first_occurrences(self.valid)
-
-    def rejected(self) -> DataFrame:
-        return rejected_records(self.canonical)
-
-    def duplicates(self) -> DataFrame:
-        return duplicate_report(self.valid)
-
-
 def source_summary(canonical: DataFrame) -> DataFrame:
     """Received, rejected, valid and unique rows of every source in one plan.
 
@@ -71,7 +51,7 @@ def source_summary(canonical: DataFrame) -> DataFrame:
 
 def run_ingestion(spark: SparkSession, tables: Tables, specs: Sequence[SourceSpec], *,
                   run_id: int | None = None, as_of: AsOf = None,
-                  timeout: float = K.LOAD_TIMEOUT_SECONDS, attempts: int = K.LOAD_ATTEMPTS,
+                  timeout: float | None = None, attempts: int = K.LOAD_ATTEMPTS,
                   retry_seconds: float = K.LOAD_RETRY_SECONDS, forest: bool = True) -> DataFrame:
     """One run; returns its row of ``ingestion_runs``.
 
@@ -88,20 +68,22 @@ def run_ingestion(spark: SparkSession, tables: Tables, specs: Sequence[SourceSpe
              for spec, o in zip(specs, outcomes) if o.status == "SUCCESS"]
     counts, inserted = {}, 0
     if feeds:
-        counts, inserted = store_batch(spark, tables, union_feeds(feeds), run_id)
+        counts, inserted = store_batch(spark, tables, union_feeds(feeds), run_id,
+                                       {s.rank: s.name for s in specs})
     close_run(spark, tables, outcomes, counts, run_id, started, duration_ms, inserted, as_of)
     analyse_run(tables, run_id, as_of=as_of, forest=forest)
     return tables.runs().filter(F.col("run_id") == run_id)
 
 
-def store_batch(spark: SparkSession, tables: Tables, canonical: DataFrame, run_id: int
-                ) -> tuple[dict[str, tuple[int, int, int]], int]:
+def store_batch(spark: SparkSession, tables: Tables, canonical: DataFrame, run_id: int,
+                names: dict[int, str] | None = None) -> tuple[dict[str, tuple[int, int, int]], int]:
     """Records, rejects and duplicates of one batch.
 
     Fingerprinted rows are written once, split by validity; everything after reads
     that folder, and a lost executor costs only the tasks it ran. Repeating a batch
-    under the same run id replaces its rows. Returns (received, valid, kept) per
-    source and the number of records that were new to the store.
+    under the same run id replaces its rows. Returns (received, valid, kept) per source
+    of the run (by rank: a mixed source is one, whatever schemas its rows have) and the
+    number of records that this run added to the store, in this attempt or an earlier one.
     """
     folder = f"{tables.root}/staged/run_id={run_id}"
     (with_fingerprint(canonical).withColumn("valid", passes_all())
@@ -111,15 +93,19 @@ def store_batch(spark: SparkSession, tables: Tables, canonical: DataFrame, run_i
     valid = staged.filter("valid").drop("valid")
     tables.replace_run("rejects", rejected_records(staged.filter("not valid")), run_id)
     tables.replace_run("duplicates", duplicate_report(valid), run_id)
-    inserted = tables.save_records(valid, run_id)
-    received = staged.groupBy("source").agg(F.count(F.lit(1)).alias("received"),
-                                            F.count_if("valid").alias("valid"))
-    # Every valid row is either kept or in the report just written.
-    dropped = (tables.read("duplicates").filter(F.col("run_id") == run_id)
-               .groupBy(F.col("duplicate_source").alias("source"))
-               .agg(F.count(F.lit(1)).alias("dropped")))
-    counts = {r["source"]: (r["received"], r["valid"], r["valid"] - (r["dropped"] or 0))
-              for r in received.join(dropped, "source", "left").collect()}
+    tables.save_records(valid, run_id)
+    inserted = tables.read("records").filter(F.col("run_id") == run_id).count()
+    received = staged.groupBy("source_rank").agg(
+        F.count(F.lit(1)).alias("received"), F.count_if("valid").alias("valid"),
+        F.min("source").alias("source"))
+    # The source of the lowest rank keeps the record.
+    kept = (valid.groupBy("record_hash").agg(F.min("source_rank").alias("source_rank"))
+            .groupBy("source_rank").agg(F.count(F.lit(1)).alias("kept")))
+    # One row per source of the run.
+    counts = {(names or {}).get(r["source_rank"], r["source"]):
+              (r["received"], r["valid"], r["kept"] or 0)
+              for r in received.join(kept, "source_rank", "left").collect()}
+    tables.drop_staged(run_id)
     return counts, inserted
 
 
@@ -151,8 +137,7 @@ def _run_row(spark: SparkSession, outcomes: Sequence[Outcome],
 
 def _status_rows(outcomes: DataFrame, counts: dict[str, tuple[int, int, int]],
                  as_of: AsOf) -> DataFrame:
-    """A3: a source's own rows count; rows of a mixed source count under the schema
-    that was detected for them."""
+    """A3: every source with what was kept of its rows."""
     at, ok = as_instant(as_of), F.col("status") == "SUCCESS"
     kept = {name: c[2] for name, c in counts.items()}
     twice = {name: c[1] - c[2] for name, c in counts.items()}
@@ -190,11 +175,11 @@ def analyse_run(tables: Tables, run_id: int, *, as_of: AsOf = None, forest: bool
 
 
 def replay_run(spark: SparkSession, tables: Tables, run_id: int, source: str | None = None, *,
-               specs: Sequence[SourceSpec] = (), as_of: AsOf = None, forest: bool = True
-               ) -> tuple[DataFrame, str]:
+               specs: Sequence[SourceSpec] = (), as_of: AsOf = None, forest: bool = True,
+               timeout: float | None = None) -> tuple[DataFrame, str]:
     """An earlier run again under a new run id, all its sources or one.
 
-    Sources that had loaded are replayed from their raw rows; sources that had
+    Sources that had loaded are replayed from their raw rows, where these lie; sources that had
     failed are read again when ``specs`` has them. ``specs`` also brings the
     normalisers of sources that are not built in. Returns the new run's row and a
     message; an unknown run raises ValueError.
@@ -209,14 +194,13 @@ def replay_run(spark: SparkSession, tables: Tables, run_id: int, source: str | N
         if source and name != source:
             continue
         if result["status"] == "SUCCESS":
-            again.append(frame_source(name, spec.rank if spec else place + 1,
-                                      read_raw(spark, result["raw_path"]), "pos",
-                                      spec.normalize if spec else None))
+            again.append(stored_source(name, spec.rank if spec else place + 1, result["raw_path"],
+                                       spec.normalize if spec else None))
         elif spec is not None:
             again.append(spec)
     new_id = tables.next_run_id()
     run = run_ingestion(spark, tables, again, run_id=new_id, as_of=as_of, forest=forest,
-                        timeout=3600.0)
+                        timeout=timeout)
     processed = run.first()["total_processed"]
     message = (f"Run #{run_id} replayed as new Run #{new_id}. "
                f"Processed {processed} unique records.")

@@ -13,11 +13,12 @@ _S, _D, _L, _I, _TS = (T.StringType(), T.DoubleType(), T.LongType(), T.IntegerTy
                        T.TimestampType())
 _TEXT_MAP = T.MapType(_S, _S)
 
+# Feeds in text formats: values are text, the number grammar decides what they are.
 RAW_A = _struct(("id", _S), ("name", _S), ("email", _S), ("amount", _S), ("created", _S))
 RAW_B = _struct(("customer_id", _S), ("full_name", _S), ("email_address", _S),
-                ("value", _D), ("timestamp", _S))
+                ("value", _S), ("timestamp", _S))
 RAW_C = _struct(("userId", _S), ("username", _S), ("mail", _S),
-                ("transaction_value", _D), ("createdAt", _S))
+                ("transaction_value", _S), ("createdAt", _S))
 RAW = {"Source A": RAW_A, "Source B": RAW_B, "Source C": RAW_C}
 
 # The reference point of a row inside its batch: feed rank, then arrival position.

@@ -54,8 +54,15 @@ class Tables:
                         f"INTO {self.buckets} BUCKETS" if table == "records" else "")
             self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns}) "
                            f"USING parquet {bucketed} LOCATION '{self.root}/tables/{table}'")
+        # The table decides, not the session that opens it.
+        self.buckets = self._bucket_count() or self.buckets
         return self
 
+    def _bucket_count(self) -> int | None:
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name('records')}")
+        found = rows.filter("col_name = 'Num Buckets'").first()
+        return int(found["data_type"]) if found else None
+
     def folder(self, table: str) -> str:
         return f"{self.root}/tables/{table}"
 
@@ -66,7 +73,9 @@ class Tables:
             return self.spark.table(self.name(table))
         try:
             return self.spark.read.schema(schemas.TABLES[table]).parquet(self.folder(table))
-        except AnalysisException:  # no run has written yet
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], schemas.TABLES[table])
 
     def replace_run(self, table: str, rows: DataFrame, run_id: int) -> None:
@@ -162,6 +171,9 @@ class Tables:
     def save_lineage(self, steps: DataFrame) -> None:
         self.append("data_lineage", steps)
 
-    def save_events(self, events: DataFrame, run_id: int) -> None:
-        """E1"""
-        self.replace_run("events", events, run_id)
+    # -- upkeep --------------------------------------------------------------
+
+    def drop_staged(self, run_id: int) -> None:
+        """Remove what a run staged, once its records are stored."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/staged/run_id={run_id}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

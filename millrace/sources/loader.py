@@ -44,6 +44,8 @@ def raw_folder(root: str, spec: SourceSpec, run_id: int, attempt: int) -> str:
 def _write_raw(spark: SparkSession, spec: SourceSpec, folder: str,
                stopped: threading.Event) -> int:
     """One attempt. Counts while writing, so the rows are read once."""
+    if spec.stored:
+        return spark.read.parquet(spec.stored).count()
     rows = spec.raw(spark)
     if stopped.is_set():
         raise TimeoutError
@@ -52,8 +54,8 @@ def _write_raw(spark: SparkSession, spec: SourceSpec, folder: str,
     return int(seen.get["received"])
 
 
-def _attempt(spark: SparkSession, spec: SourceSpec, folder: str, timeout: float) -> int:
-    """One attempt with a time limit. The jobs of an attempt that runs out of time
+def _attempt(spark: SparkSession, spec: SourceSpec, folder: str, timeout: float | None) -> int:
+    """One attempt with a time limit, or none. The jobs of an attempt that runs out of time
     are cancelled by their tag; its folder is never read, so a late write is harmless."""
     tag = f"millrace-{uuid.uuid4().hex}"
     stopped, result = threading.Event(), {}
@@ -82,14 +84,14 @@ def _attempt(spark: SparkSession, spec: SourceSpec, folder: str, timeout: float)
 
 
 def load_source(spark: SparkSession, spec: SourceSpec, run_id: int, raw_root: str, *,
-                timeout: float = K.LOAD_TIMEOUT_SECONDS, attempts: int = K.LOAD_ATTEMPTS,
+                timeout: float | None = None, attempts: int = K.LOAD_ATTEMPTS,
                 retry_seconds: float = K.LOAD_RETRY_SECONDS) -> Outcome:
     """Load one source; never raises. ``attempts`` counts the first try, the
-    delay between tries is constant and the time limit holds for each try."""
+    delay between tries is constant and the time limit holds for each try; without one a load may take as long as it needs."""
     started = time.perf_counter()
     status, error, tried = "FAILED", None, 0
     for tried in range(1, max(1, attempts) + 1):
-        folder = raw_folder(raw_root, spec, run_id, tried)
+        folder = spec.stored or raw_folder(raw_root, spec, run_id, tried)
         try:
             received = _attempt(spark, spec, folder, timeout)
             elapsed = (time.perf_counter() - started) * 1000
@@ -105,7 +107,7 @@ def load_source(spark: SparkSession, spec: SourceSpec, run_id: int, raw_root: st
 
 
 def load_sources(spark: SparkSession, specs: Sequence[SourceSpec], run_id: int, raw_root: str, *,
-                 timeout: float = K.LOAD_TIMEOUT_SECONDS, attempts: int = K.LOAD_ATTEMPTS,
+                 timeout: float | None = None, attempts: int = K.LOAD_ATTEMPTS,
                  retry_seconds: float = K.LOAD_RETRY_SECONDS,
                  on_event: Callable[[str, SourceSpec, Outcome | None], None] | None = None,
                  ) -> list[Outcome]:

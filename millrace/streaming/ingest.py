@@ -15,6 +15,7 @@ from millrace.operators.normalize import normalize_feed
 from millrace.operators.validate import valid_records
 from millrace.plans.ingest import analyse_run, close_run, store_batch
 from millrace.sinks.tables import Tables
+from millrace.sources.feeds import TEXT_FORMATS
 from millrace.sources.loader import Outcome
 from millrace import schemas
 
@@ -24,8 +25,10 @@ def stream_feed(spark: SparkSession, path: str, source: str, rank: int, fmt: str
                 as_of: AsOf = None, options: dict[str, str] | None = None) -> DataFrame:
     """One feed as a stream of canonical rows; the schema is explicit, as streams need.
     Without a ``position`` column rows get their place when their batch is stored."""
-    raw = (spark.readStream.options(**(options or {})).schema(schema or schemas.RAW[source])
-           .format(fmt).load(path))
+    if schema is None:
+        schema = (schemas.RAW[source] if fmt in TEXT_FORMATS
+                  else spark.read.format(fmt).load(path).schema)
+    raw = spark.readStream.options(**(options or {})).schema(schema).format(fmt).load(path)
     place = F.col(position) if position else F.lit(None).cast("bigint")
     return normalize_feed(raw.withColumn("pos", place), source, rank, as_of=as_of)
 

@@ -4,8 +4,10 @@ import golden
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators.dedupe import duplicate_pairs
-from millrace.plans.ingest import Batch, replay_run, run_ingestion, source_summary
+from millrace.operators.dedupe import (duplicate_pairs, duplicate_report, first_occurrences,
+                                       with_fingerprint)
+from millrace.operators.validate import rejected_records, valid_records
+from millrace.plans.ingest import replay_run, run_ingestion, source_summary
 from millrace.sinks.tables import Tables
 
 
@@ -17,19 +19,20 @@ def lake(spark, tmp_path_factory):
 
 @pytest.mark.parametrize("partitions", [1, 7])
 def test_counts(spark, partitions):
-    batch = Batch(golden.canonical(spark, partitions))
-    assert batch.canonical.count() == 31
-    assert batch.valid.count() == 30
-    kept = {r["source"]: r["count"] for r in batch.unique.groupBy("source").count().collect()}
+    canonical = golden.canonical(spark, partitions)
+    valid = with_fingerprint(valid_records(canonical))
+    assert canonical.count() == 31
+    assert valid.count() == 30
+    kept = {r["source"]: r["count"] for r in first_occurrences(valid).groupBy("source").count().collect()}
     assert kept == {"Source A": 10, "Source B": 6, "Source C": 6}
-    bad = batch.rejected().collect()
+    bad = rejected_records(canonical).collect()
     assert [(r["record_id"], r["errors"]) for r in bad] == [
         ("A-011", ["Invalid email", "Value must not be negative"])]
-    pairs = {(r[0], r[1]): r[2] for r in duplicate_pairs(batch.valid).collect()}
+    pairs = {(r[0], r[1]): r[2] for r in duplicate_pairs(valid).collect()}
     assert pairs == {("Source A", "Source B"): 4, ("Source A", "Source C"): 2,
                      ("Source B", "Source C"): 2}
     report = {(r["original_source"], r["duplicate_source"], r["record_id"])
-              for r in batch.duplicates().collect()}
+              for r in duplicate_report(valid).collect()}
     assert report == {("Source A", "Source B", i) for i in ("A-001", "A-002", "A-003", "A-004")
                       } | {("Source A", "Source C", i) for i in ("A-001", "A-005")
                            } | {("Source B", "Source C", i) for i in ("B-001", "B-002")}
