@@ -663,3 +663,16 @@ ORACLE["ingest_files"] = sql("""
         (select count(*) from valid v where v.source = s.source)
           - (select count(*) from kept k where k.source = s.source) as duplicates
     from (select distinct source from canon) s""", "canon", "valid", "kept")
+ORACLE["ingest_retry"] = """
+    select 'Source A' as source, 'SUCCESS' as status, count(*) as received, 3 as attempts from customer
+    union all select 'Source B', 'FAILED', 0, 3 union all select 'Source C', 'TIMEOUT', 0, 2"""
+ORACLE["lineage_stored"] = sql("""
+    select 6 * n as steps, 6 * n as stored_by_first, n as first_read, n as second_read
+    from (select count(distinct record_hash) as n from valid where source = 'Source A')""", "valid")
+ORACLE["quality_of_nothing"] = """
+    select 100.0::double as overall_score, 100.0::double as completeness, 100.0::double as validity,
+        100.0::double as consistency, 100.0::double as uniqueness, 100.0::double as freshness,
+        0::bigint as rows, 0::bigint as valid_rows, 0::bigint as consistent_rows"""
+ORACLE["quality_first_read"] = sql("""
+    select 1::bigint as snapshots, true as same, count(distinct record_hash) as records
+    from valid where source = 'Source A'""", "valid")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,10 +13,12 @@ from millrace.functions.instants import iso_format, parse_instant, parse_iso
 from millrace.functions.text import clean_email, clean_text, to_number
 from millrace.operators import (alerts, anomaly, compare, dedupe, events, health, lineage,
                                 normalize, quality, reads, runs, upsert, validate)
-from millrace.plans.ingest import run_ingestion, source_summary
+from millrace.plans.ingest import (lineage_of, quality_or_compute, run_ingestion,
+                                   source_summary)
 from millrace.session import configure, shared_folder
 from millrace.sinks.tables import Tables
-from millrace.sources.feeds import file_source, frame_source, payload_source
+from millrace.sources.feeds import SourceSpec, file_source, frame_source, payload_source
+from millrace.sources.loader import load_sources, outcome_frame
 from millrace.streaming import ingest as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -897,6 +900,69 @@ def ingest_repeat(spark, sf):
     return run.select(*RUN, "total_inserted", *counts)
 
 
+class _Flaky:
+    """A source that fails a number of times before it answers, or takes too long."""
+
+    def __init__(self, frame: DataFrame, failures: int = 0, seconds: float = 0.0):
+        self.frame, self.failures, self.seconds = frame, failures, seconds
+
+    def __call__(self, spark) -> DataFrame:
+        if self.failures > 0:
+            self.failures -= 1
+            raise OSError("not ready")
+        time.sleep(self.seconds)
+        return self.frame
+
+
+@query
+def ingest_retry(spark, sf):
+    """One source fails twice, one always, one never answers in time"""
+    tables = _new_tables(spark, "retry")
+    frames = [T.raw_a(spark, sf), T.raw_b(spark, sf), T.raw_c(spark, sf)]
+    reads = [_Flaky(frames[0], failures=2), _Flaky(frames[1], failures=99),
+             _Flaky(frames[2], seconds=60.0)]
+    names = ["Source A", "Source B", "Source C"]
+    specs = [SourceSpec(n, k + 1, r, "pos") for k, (n, r) in enumerate(zip(names, reads))]
+    outcomes = load_sources(spark, specs[:2], 1, tables.raw_root, attempts=3, retry_seconds=0.1)
+    outcomes += load_sources(spark, specs[2:], 1, tables.raw_root, timeout=2.0, attempts=2,
+                             retry_seconds=0.1)
+    return outcome_frame(spark, outcomes, 1).select("source", "status", "received", "attempts")
+
+
+@query
+def lineage_stored(spark, sf):
+    """Lineage is rebuilt and stored by the first read, and only read by the second"""
+    tables = _new_tables(spark, "lineage")
+    run_ingestion(spark, tables, [frame_source("Source A", 1, T.raw_a(spark, sf), "pos")],
+                  as_of=T.AS_OF, forest=False)
+    first = lineage_of(tables).count()
+    stored = tables.read("data_lineage").count()
+    again = lineage_of(tables).count()
+    after = tables.read("data_lineage").agg(F.count(F.lit(1)).alias("steps"))
+    return after.select("steps", F.lit(stored).alias("stored_by_first"),
+                        F.lit(first).alias("first_read"), F.lit(again).alias("second_read"))
+
+
+@query
+def quality_of_nothing(spark, sf):
+    """Q9: scores of an empty selection"""
+    none = dedupe.with_fingerprint(T.canonical(spark, sf)).filter("source = 'no such source'")
+    return quality.quality_scores(none, T.AS_OF)
+
+
+@query
+def quality_first_read(spark, sf):
+    """The first read computes a snapshot and stores it, the second finds it"""
+    tables = _new_tables(spark, "first")
+    rows = dedupe.with_fingerprint(validate.valid_records(T.feed(spark, sf, "Source A")))
+    tables.save_records(dedupe.first_occurrences(rows), 1)
+    one = quality_or_compute(tables, T.AS_OF).first()
+    two = quality_or_compute(tables, "2025-01-01 00:00:00").first()
+    return tables.read("quality_metrics").agg(F.count(F.lit(1)).alias("snapshots")).select(
+        "snapshots", F.lit(one["timestamp"] == two["timestamp"]).alias("same"),
+        F.lit(one["details"]["total_records_evaluated"]).cast("bigint").alias("records"))
+
+
 @query
 def run_state_repeated(spark, sf):
     """A run that ended PARTIAL first and was then repeated"""

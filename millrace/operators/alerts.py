@@ -1,4 +1,4 @@
-"""Alert rules (L1-L7). Every rule is a filter and a projection; they are unioned."""
+"""Alert rules (L1-L7). All rules over one input are raised in one pass over it."""
 
 from __future__ import annotations
 
@@ -12,11 +12,11 @@ from millrace.functions.identity import content_id
 from millrace.functions.render import fill
 
 
-def _alert(rows: DataFrame, rule: str, severity: Column, source: Column, run: Column,
-           title: list[Column], text: list[Column], identity: list[Column]) -> DataFrame:
+def _alert(rule: str, severity: Column, source: Column, run: Column,
+           title: list[Column], text: list[Column], identity: list[Column]) -> Column:
     """Texts, ACTIVE state and an id made of the rule and what it found."""
     head, body = K.ALERT_TEXTS[rule]
-    return rows.select(
+    return F.struct(
         content_id("alert-", F.lit(rule), run, source, *identity).alias("id"),
         severity.alias("severity"), fill(head, *title).alias("title"),
         fill(body, *text).alias("description"), source.alias("source"),
@@ -24,15 +24,20 @@ def _alert(rows: DataFrame, rule: str, severity: Column, source: Column, run: Co
         F.lit(None).cast("string").alias("record_id"))
 
 
+def _raised(rows: DataFrame, *rules: tuple[Column, Column]) -> DataFrame:
+    """One row per rule (condition, alert) that holds, in one pass over ``rows``."""
+    return rows.select(F.inline(F.array_compact(F.array(*[F.when(c, a) for c, a in rules]))))
+
+
 def source_alerts(sources: DataFrame) -> DataFrame:
     """L1: sources that report trouble, with the error of their last load."""
     name, status = F.col("source"), F.col("status")
     error = (F.coalesce(F.nullif("error_message", F.lit("")), F.lit("Unknown error"))
              if "error_message" in sources.columns else F.lit("Unknown error"))
     seen = [F.col("run_id")] if "run_id" in sources.columns else []
-    return _alert(sources.filter(status.isin(K.ALERT_SOURCE_STATES)), "source", F.lit("HIGH"),
-                  name, F.lit(None).cast("bigint"), [name], [name, status, error],
-                  [status, *seen])
+    return _raised(sources, (status.isin(K.ALERT_SOURCE_STATES), _alert(
+        "source", F.lit("HIGH"), name, F.lit(None).cast("bigint"), [name], [name, status, error],
+        [status, *seen])))
 
 
 def run_alerts(runs: DataFrame, latest_only: bool = True) -> DataFrame:
@@ -44,14 +49,15 @@ def run_alerts(runs: DataFrame, latest_only: bool = True) -> DataFrame:
     failed = F.col("total_failed")
     percent = F.try_divide(duplicates, received) * 100.0
     engine = F.lit(K.ORCHESTRATOR)
-    return reduce(DataFrame.unionByName, [
-        _alert(runs.filter(ms > K.ALERT_LATENCY_MS), "latency", F.lit("MEDIUM"), engine, run,
-               [run], [run, ms], []),
-        _alert(runs.filter(percent > K.ALERT_DUPLICATE_PERCENT), "duplicates", F.lit("MEDIUM"),
-               F.lit(K.DEDUPLICATOR), run, [percent, run], [duplicates, received], []),
-        _alert(runs.filter(failed > 0), "failed", F.lit("HIGH"), engine, run, [run],
-               [failed, run], []),
-    ])
+    return _raised(
+        runs,
+        (ms > K.ALERT_LATENCY_MS,
+         _alert("latency", F.lit("MEDIUM"), engine, run, [run], [run, ms], [])),
+        (percent > K.ALERT_DUPLICATE_PERCENT,
+         _alert("duplicates", F.lit("MEDIUM"), F.lit(K.DEDUPLICATOR), run, [percent, run],
+                [duplicates, received], [])),
+        (failed > 0,
+         _alert("failed", F.lit("HIGH"), engine, run, [run], [failed, run], [])))
 
 
 def cluster_alerts(anomalies: DataFrame) -> DataFrame:
@@ -61,10 +67,10 @@ def cluster_alerts(anomalies: DataFrame) -> DataFrame:
     run = F.col("run_id") if "run_id" in anomalies.columns else F.lit(None).cast("bigint")
     active = anomalies.agg(F.count_if(on).alias("n"), F.max(F.when(on, run)).alias("newest"))
     n = F.col("n")
-    return _alert(active.filter(n >= K.ALERT_CLUSTER_MIN), "cluster",
-                  F.when(n > K.ALERT_CLUSTER_HIGH, "HIGH").otherwise("MEDIUM"),
-                  F.lit(K.ANOMALY_ENGINE), F.lit(None).cast("bigint"), [n], [n],
-                  [n, F.col("newest")])
+    severity = F.when(n > K.ALERT_CLUSTER_HIGH, "HIGH").otherwise("MEDIUM")
+    return _raised(active, (n >= K.ALERT_CLUSTER_MIN, _alert(
+        "cluster", severity, F.lit(K.ANOMALY_ENGINE), F.lit(None).cast("bigint"), [n], [n],
+        [n, F.col("newest")])))
 
 
 def scan_alerts(sources: DataFrame, runs: DataFrame, anomalies: DataFrame, *,

@@ -12,7 +12,10 @@ SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 SAMPLE = ["source_counts", "normalize_mixed", "duplicate_report", "run_totals", "quality_scores",
-          "alerts_latest", "run_deltas", "run_lineage", "activity_feed"]
+          "alerts_latest", "alerts_all_runs", "run_deltas", "run_lineage", "activity_feed",
+          "ingest_files", "ingest_repeat", "ingest_retry", "lineage_stored", "quality_of_nothing",
+          "quality_first_read", "run_state_repeated", "stream_run_state", "source_status_upsert",
+          "source_status_strict", "health_score", "reject_reasons", "cross_run_new"]
 
 duckdb = pytest.importorskip("duckdb")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
