@@ -228,8 +228,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end: int =
         count[length] = n
     runs, _ = runs_of(count, capacity, grain)
     plan = docs.sparkSession.sparkContext.broadcast(Plan(runs))
-    ranked = numbered(cut, "length", ["doc_id", "piece", "start", "ids_crc32"], "rank",
-                      int(count.sum()))
+    ranked = numbered(cut, "length", ["doc_id", "piece", "start", "ids_crc32"], "rank")
 
     def placed(batches):
         for batch in batches:

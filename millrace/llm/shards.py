@@ -180,7 +180,7 @@ def shard(docs: DataFrame, shards: int) -> DataFrame:
     rows, leaves = build(staged(measured(docs), "shard-rows"), shards)
     placed = rows.select("doc_id", "size", "text_crc32",
                          _by_node([leaf.first for leaf in leaves]).cast("int").alias("shard"))
-    out = numbered(placed, "shard", ["doc_id", "text_crc32", "size"], "slot", rows.count())
+    out = numbered(placed, "shard", ["doc_id", "text_crc32", "size"], "slot")
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
 

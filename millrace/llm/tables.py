@@ -23,16 +23,18 @@ def documents(frame: DataFrame, *columns: str) -> DataFrame:
     return frame.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *columns)
 
 
-def numbered(frame: DataFrame, key: str, order: list[str], name: str, rows: int,
+def numbered(frame: DataFrame, key: str, order: list[str], name: str,
              per_part: int = 2_000) -> DataFrame:
     """``name``: 0, 1, 2, ... without gaps among the rows of each ``key``.
 
-    Each key's rows are split by a hash of ``order`` into parts of about ``per_part`` rows at
-    most, were all rows of one key; parts are numbered inside, and begin where the counts of
-    the parts before them end. No task needs all rows of a key.
+    Each key's rows are split by a hash of ``order`` into parts of about ``per_part`` rows; parts
+    are numbered inside, and begin where the counts of the parts before them end. No
+    task needs all rows of a key. The different keys must be few (shards, lengths up to
+    a capacity): one row for each is broadcast.
     """
-    parts = max(1, -(-rows // per_part))
-    cut = frame.withColumn("_part", F.pmod(F.xxhash64(*order), F.lit(parts)))
+    sizes = frame.groupBy(key).agg(F.ceil(F.count("*") / per_part).alias("_parts"))
+    cut = (frame.join(F.broadcast(sizes), key)
+           .withColumn("_part", F.pmod(F.xxhash64(*order), F.col("_parts"))).drop("_parts"))
     before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (cut.groupBy(key, "_part").agg(F.count("*").alias("_rows"))
               .withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
