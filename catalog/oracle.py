@@ -676,3 +676,9 @@ ORACLE["quality_of_nothing"] = """
 ORACLE["quality_first_read"] = sql("""
     select 1::bigint as snapshots, true as same, count(distinct record_hash) as records
     from valid where source = 'Source A'""", "valid")
+ORACLE["incremental_analysis"] = sql(f"""
+    select kind, q.* exclude (rows, valid_rows, consistent_rows), q.rows as evaluated, v.*
+    from (values ('counters'), ('records')) k(kind),
+      ({_quality("kept", "max(created_at)")}) q,
+      (select round(avg(value), 4) as mean, round(stddev_pop(value), 4) as std,
+         round(avg(value) + 2.5 * stddev_pop(value), 4) as high from kept) v""", "kept")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -17,6 +18,7 @@ from millrace.plans.ingest import (lineage_of, quality_or_compute, run_ingestion
                                    source_summary)
 from millrace.session import configure, shared_folder
 from millrace.sinks.tables import Tables
+from millrace.operators.counters import value_stats_of
 from millrace.sources.feeds import SourceSpec, file_source, frame_source, payload_source
 from millrace.sources.loader import load_sources, outcome_frame
 from millrace.streaming import ingest as streaming
@@ -950,6 +952,25 @@ def quality_of_nothing(spark, sf):
     return quality.quality_scores(none, T.AS_OF)
 
 
+@query
+def incremental_analysis(spark, sf):
+    """Q1-Q8, M1-M3 from the counters of three runs against a scan of the whole store"""
+    tables = _new_tables(spark, "counters")
+    for k, raw in enumerate((T.raw_a, T.raw_b, T.raw_c)):
+        run_ingestion(spark, tables, [frame_source(f"Source {'ABC'[k]}", k + 1, raw(spark, sf), "pos")],
+                      run_id=k + 1, as_of=T.AS_OF, forest=False)
+    counters, records = tables.read("run_counters"), tables.records()
+    shown = ["overall_score", "completeness", "validity", "consistency", "uniqueness", "freshness"]
+    kinds = [("counters", quality.snapshot_of(counters, None, 3, T.AS_OF), value_stats_of(counters)),
+             ("records", quality.quality_snapshot(records, 3, T.AS_OF),
+              anomaly.value_stats(records, records.limit(0)))]
+    return reduce(DataFrame.unionByName, [
+        snap.select(F.lit(kind).alias("kind"), *shown,
+                    F.expr("cast(details['total_records_evaluated'] as bigint)").alias("evaluated"),
+                    *[F.round(stats.select(c).scalar(), 4).alias(c) for c in ("mean", "std", "high")])
+        for kind, snap, stats in kinds])
+
+
 @query
 def quality_first_read(spark, sf):
     """The first read computes a snapshot and stores it, the second finds it"""

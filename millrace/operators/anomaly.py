@@ -60,8 +60,9 @@ def _severity() -> Column:
 
 def value_anomalies(scan: DataFrame, history: DataFrame | None = None, *,
                     run_id: int | None = None, as_of: AsOf = None,
-                    forest: Forest | None = None) -> DataFrame:
-    """Anomalous rows of ``scan`` as rows of ``anomalies``.
+                    forest: Forest | None = None, stats: DataFrame | None = None) -> DataFrame:
+    """Anomalous rows of ``scan`` as rows of ``anomalies``. ``stats`` is
+    one row as of value_stats(), where it is known already.
 
     Fewer than five training values give no rows. Without a ``forest`` only the
     z-score and range conditions apply. Scoring needs no shuffle.
@@ -74,7 +75,7 @@ def value_anomalies(scan: DataFrame, history: DataFrame | None = None, *,
     run = (F.lit(run_id) if run_id is not None else
            F.col("run_id") if "run_id" in scan.columns else F.lit(None)).cast("bigint")
     identity = [c for c in ("record_hash",) if c in scan.columns]
-    rows = score_values(scan, value_stats(scan, history)).filter(
+    rows = score_values(scan, value_stats(scan, history) if stats is None else stats).filter(
         (s["n"] >= K.ANOMALY_MIN_VALUES) & flagged)
     return rows.select(
         content_id("anom-", run, "record_id", *identity, F.lit("value"), v).alias("id"),

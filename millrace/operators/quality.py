@@ -35,7 +35,8 @@ def _arrival(records: DataFrame) -> tuple[Column, Column]:
     return at, F.col("ingested_at").isNotNull() & at.isNull()
 
 
-def _counters(records: DataFrame) -> list[Column]:
+def quality_counters(records: DataFrame) -> list[Column]:
+    """The sums behind every score, as aggregates."""
     missing = {c: _missing(records, c) for c in K.QUALITY_FIELDS}
     text = F.coalesce(F.col("email"), F.lit("")) if "email" in records.columns else F.lit("")
     value = F.col("value") if "value" in records.columns else F.lit(None).cast("double")
@@ -58,7 +59,7 @@ _SUMS = ["rows", "missing_name", "missing_email", "missing_value", "missing_crea
 def quality_profile(records: DataFrame, by: Sequence[str] = ("source",)) -> DataFrame:
     """The additive counters behind every score, one row per group. One scan; tasks
     send one row per group, so a source with most of the rows costs nothing extra."""
-    return records.groupBy(*by).agg(*_counters(records))
+    return records.groupBy(*by).agg(*quality_counters(records))
 
 
 def _percent(part: Column, whole: Column) -> Column:
@@ -127,7 +128,7 @@ def newest_records(records: DataFrame, limit: int | None) -> DataFrame:
 
 def quality_by_group(records: DataFrame, by: Sequence[str], as_of: AsOf = None) -> DataFrame:
     """Q1-Q6 per group (run, day ...) in one aggregate."""
-    counters = [*_counters(records)]
+    counters = [*quality_counters(records)]
     if "record_hash" in records.columns:
         counters.append(F.count_distinct("record_hash").alias("unique_rows"))
     counted = records.groupBy(*by).agg(*counters)
@@ -157,14 +158,26 @@ def quality_snapshot(records: DataFrame, run_id: int | None = None, as_of: AsOf
     scores and folded into the map, and fingerprints are counted beside it.
     """
     records = newest_records(records, limit)
-    profile = quality_profile(records)
+    unique = (records.agg(F.count_distinct("record_hash")).scalar()
+              if "record_hash" in records.columns else F.lit(None).cast("bigint"))
+    return snapshot_of(quality_profile(records), unique, run_id, as_of)
+
+
+def snapshot_of(profile: DataFrame, unique: Column | None = None, run_id: int | None = None,
+                as_of: AsOf = None) -> DataFrame:
+    """quality_snapshot() from counters per source (several rows of a source add up).
+    ``unique`` is the number of different fingerprints; None where no two rows share one."""
+    profile = profile.groupBy("source").agg(
+        *[F.sum(c).alias(c) for c in _SUMS],
+        F.max("newest_ingested_at").alias("newest_ingested_at"))
     by_source = F.map_from_entries(F.array_sort(F.collect_list(F.when(
         F.col("source").isNotNull(), F.struct("source", _source_completeness())))))
     counted = profile.agg(
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _SUMS],
         F.max("newest_ingested_at").alias("newest_ingested_at"),
         by_source.alias("quality_by_source"))
-    scored = _with_scores(_sum_profile(counted, records), as_of, ("quality_by_source",))
+    counted = counted.withColumn("unique_rows", F.col("rows") if unique is None else unique)
+    scored = _with_scores(counted, as_of, ("quality_by_source",))
     counts = F.create_map(
         F.lit("total_records_evaluated"), F.col("rows").cast("string"),
         F.lit("valid_records_count"), F.col("valid_rows").cast("string"),

@@ -13,12 +13,13 @@ from millrace.functions.asof import AsOf, as_instant
 from millrace.functions.rules import passes_all
 from millrace.operators.alerts import scan_alerts
 from millrace.operators.anomaly import detect_value_anomalies, run_anomalies, value_anomalies
+from millrace.operators.counters import run_counters, value_stats_of
 from millrace.operators.dedupe import duplicate_report, with_fingerprint
 from millrace.operators.events import lifecycle_events
 from millrace.operators.health import pipeline_health
 from millrace.operators.lineage import lineage_with_fallback, nest_lineage
 from millrace.operators.normalize import union_feeds
-from millrace.operators.quality import quality_snapshot
+from millrace.operators.quality import quality_snapshot, snapshot_of
 from millrace.operators.reads import by_id, latest_snapshot
 from millrace.operators.validate import rejected_records
 from millrace.sinks.tables import Tables
@@ -156,24 +157,36 @@ def _status_rows(outcomes: DataFrame, counts: dict[str, tuple[int, int, int]],
 
 
 def analyse_run(tables: Tables, run_id: int, *, as_of: AsOf = None, forest: bool = True) -> None:
-    """Quality, anomalies, health and alerts after a run, each over whole tables.
+    """Quality, anomalies, health and alerts after a run.
 
-    Scanned for anomalies are the records of this run, with all earlier ones as
-    their history; a first run is its own history.
+    Scanned for anomalies are the records of this run, with all earlier ones as their
+    history; a first run is its own history. Scores and statistics come from the counters
+    that each run leaves, so without the forest no record of an earlier run is read.
     """
-    records = tables.records()
-    tables.save_quality(quality_snapshot(records, run_id, as_of))
-    scan = records.filter(F.col("run_id") == run_id)
-    earlier = records.filter(F.coalesce(F.col("run_id") < run_id, F.lit(True)))
-    history = None if earlier.isEmpty() else earlier
-    detect = detect_value_anomalies if forest else value_anomalies
-    tables.save_anomalies(detect(scan, history, run_id=run_id, as_of=as_of))
+    scan = tables.records().filter(F.col("run_id") == run_id)
+    tables.replace_run("run_counters", run_counters(scan), run_id)
+    counters = tables.read("run_counters")
+    tables.save_quality(snapshot_of(counters, None, run_id, as_of))
+    earlier = not counters.filter(F.col("run_id") < run_id).isEmpty()
+    if forest:
+        history = tables.records().filter(F.coalesce(F.col("run_id") < run_id, F.lit(True)))
+        found = detect_value_anomalies(scan, history if earlier else None, run_id=run_id, as_of=as_of)
+    else:
+        stats = value_stats_of(counters.filter(F.col("run_id") <= run_id), not earlier)
+        found = value_anomalies(scan, run_id=run_id, as_of=as_of, stats=stats)
     runs = tables.runs()
-    tables.save_anomalies(run_anomalies(runs, as_of=as_of))
+    tables.save_anomalies(found.unionByName(run_anomalies(runs, as_of=as_of)))
     tables.save_health(pipeline_health(runs, tables.sources(), tables.anomalies(), as_of))
     tables.save_alerts(scan_alerts(tables.sources(), runs, tables.anomalies(), as_of=as_of))
 
 
+def rebuild_counters(tables: Tables) -> None:
+    """Counters of every stored run, for a store that was filled without them."""
+    for row in tables.runs().select("run_id").toLocalIterator():
+        scan = tables.records().filter(F.col("run_id") == row["run_id"])
+        tables.replace_run("run_counters", run_counters(scan), row["run_id"])
+
+
 def replay_run(spark: SparkSession, tables: Tables, run_id: int, source: str | None = None, *,
                specs: Sequence[SourceSpec] = (), as_of: AsOf = None, forest: bool = True,
                timeout: float | None = None) -> tuple[DataFrame, str]:

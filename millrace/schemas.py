@@ -63,9 +63,15 @@ LINEAGE = _struct(("record_id", _S), ("record_hash", _S), ("source", _S), ("run_
 EVENTS = _struct(("event", _S), ("run_id", _L), ("timestamp", _TS), ("source", _S),
                  ("records", _L), ("duration_ms", _D), ("error", _S), ("status", _S))
 
+RUN_COUNTERS = _struct(("run_id", _L), ("source", _S), ("rows", _L), ("missing_name", _L),
+                       ("missing_email", _L), ("missing_value", _L), ("missing_created_at", _L),
+                       ("valid_rows", _L), ("consistent_rows", _L), ("newest_ingested_at", _TS),
+                       ("unreadable_rows", _L), ("n", _L), ("mean", _D), ("m2", _D))
+
 TABLES = {
     "records": RECORDS, "rejects": REJECTS, "duplicates": DUPLICATES,
     "ingestion_runs": RUNS, "sources": SOURCES, "quality_metrics": QUALITY,
     "anomalies": ANOMALIES, "alerts": ALERTS, "alert_status": ALERT_STATUS,
     "pipeline_health": HEALTH, "data_lineage": LINEAGE, "events": EVENTS,
+    "run_counters": RUN_COUNTERS,
 }

@@ -20,7 +20,7 @@ from millrace.operators.validate import require_hash
 
 RUN_ORDER = ["completed_at"]
 # Tables with one folder per run: writing a run again replaces its rows.
-PER_RUN = {"rejects", "duplicates", "events"}
+PER_RUN = {"rejects", "duplicates", "events", "run_counters"}
 
 
 class Tables:

@@ -133,3 +133,19 @@ def test_stored_batch_counts_by_source_of_the_run(spark, lake):
             "created_at": F.lit(AS_OF).cast("timestamp"), "ingested_at": F.lit(AS_OF).cast("timestamp")})
     counts, inserted = store_batch(spark, lake, frame, 50, {7: "Mixed", 8: "Other"})
     assert counts == {"Mixed": (2, 2, 1), "Other": (1, 1, 0)} and inserted == 1
+
+
+def test_counters_give_the_statistics_of_the_values(spark):
+    from millrace.operators.anomaly import value_stats
+    from millrace.operators.counters import run_counters, value_stats_of
+
+    rows = [(s, "n", "e@x.yz", v, AS_OF, f"h{k}") for k, (s, v) in enumerate(
+        [("A", 1e9 + 1), ("A", 1e9 + 4), ("B", 1e9), ("B", float("nan")), ("C", None), (None, 1e9 + 9)])]
+    records = spark.createDataFrame(rows, "source string, name string, email string, value double, "
+                                    "created_at string, record_hash string").withColumn(
+        "created_at", F.col("created_at").cast("timestamp"))
+    got = value_stats_of(run_counters(records)).first()
+    want = value_stats(records, records.limit(0)).first()
+    assert got["n"] == want["n"] == 4
+    assert got["mean"] == pytest.approx(want["mean"]) and got["std"] == pytest.approx(want["std"], abs=1e-6)
+    assert value_stats_of(run_counters(records.limit(0))).first()["n"] == 0
