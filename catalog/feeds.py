@@ -78,12 +78,16 @@ def feed(spark: SparkSession, sf: str, source: str) -> DataFrame:
     return _arrived(normalize_feed(raw(spark, sf), source, rank, as_of=AS_OF))
 
 
-def canonical(spark: SparkSession, sf: str) -> DataFrame:
-    return union_feeds([feed(spark, sf, s) for s in ("Source A", "Source B", "Source C")])
+SOURCES = ("Source A", "Source B", "Source C")
 
 
-def valid(spark: SparkSession, sf: str) -> DataFrame:
-    return with_fingerprint(valid_records(canonical(spark, sf)))
+def canonical(spark: SparkSession, sf: str, sources: tuple[str, ...] = SOURCES) -> DataFrame:
+    return union_feeds([feed(spark, sf, s) for s in sources])
+
+
+def valid(spark: SparkSession, sf: str, sources: tuple[str, ...] = SOURCES) -> DataFrame:
+    """Valid rows of the feeds asked for; others are not read."""
+    return with_fingerprint(valid_records(canonical(spark, sf, sources)))
 
 
 def records(spark: SparkSession, sf: str) -> DataFrame:

@@ -682,3 +682,7 @@ ORACLE["incremental_analysis"] = sql(f"""
       ({_quality("kept", "max(created_at)")}) q,
       (select round(avg(value), 4) as mean, round(stddev_pop(value), 4) as std,
          round(avg(value) + 2.5 * stddev_pop(value), 4) as high from kept) v""", "kept")
+ORACLE["forest_step"] = sql("""select value <= 100 or value > 20000 as anomalous, count(*) as rows
+    from vals group by 1""", "vals")
+ORACLE["forest_invariants"] = sql("""select count(*) as training_rows, true as within_share,
+    true as far_values_found from vals""", "vals")

@@ -6,6 +6,7 @@ import time
 from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalog import feeds as T
@@ -14,11 +15,12 @@ from millrace.functions.instants import iso_format, parse_instant, parse_iso
 from millrace.functions.text import clean_email, clean_text, to_number
 from millrace.operators import (alerts, anomaly, compare, dedupe, events, health, lineage,
                                 normalize, quality, reads, runs, upsert, validate)
-from millrace.plans.ingest import (lineage_of, quality_or_compute, run_ingestion,
+from millrace.plans.ingest import (lineage_of, quality_or_compute, replay_run, run_ingestion,
                                    source_summary)
 from millrace.session import configure, shared_folder
 from millrace.sinks.tables import Tables
 from millrace.operators.counters import value_stats_of
+from millrace.operators.forest import Forest, fit_forest
 from millrace.sources.feeds import SourceSpec, file_source, frame_source, payload_source
 from millrace.sources.loader import load_sources, outcome_frame
 from millrace.streaming import ingest as streaming
@@ -245,9 +247,8 @@ def duplicate_count(spark, sf):
 @query
 def cross_run_new(spark, sf):
     """A first run loads feed A, a second one B and C"""
-    rows = T.valid(spark, sf)
-    stored = dedupe.first_occurrences(rows.filter(F.col("source") == "Source A"))
-    return dedupe.new_records(rows.filter(F.col("source") != "Source A"), stored).select(
+    stored = dedupe.first_occurrences(T.valid(spark, sf, ("Source A",)))
+    return dedupe.new_records(T.valid(spark, sf, ("Source B", "Source C")), stored).select(
         "record_hash", "source", "pos")
 
 
@@ -440,6 +441,30 @@ def forest_anomalies(spark, sf):
                                           as_of=T.AS_OF).select(*ANOMALY)
 
 
+@query
+def forest_step(spark, sf):
+    """M6: which rows a forest with known steps calls anomalous"""
+    known = Forest(np.array([100.0, 1000.0, 20000.0]), np.array([0.7, 0.5, 0.4, 0.65]), 0.6)
+    return (_values(spark, sf).filter(F.col("value").isNotNull())
+            .groupBy(known.flags("value").alias("anomalous")).agg(F.count(F.lit(1)).alias("rows")))
+
+
+@query
+def forest_invariants(spark, sf):
+    """M5, M6, M9: all values train the forest, what it flags stays within its share, and
+    every value far from the mean is reported whatever the forest says"""
+    rows = _values(spark, sf).filter(F.col("value").isNotNull())
+    forest = fit_forest(rows, ("source_rank", "pos"))
+    found = anomaly.value_anomalies(rows, as_of=T.AS_OF, forest=forest)
+    far = anomaly.score_values(rows, anomaly.value_stats(rows)).filter(F.col("z") > K.BOUND_SIGMAS)
+    missed = far.join(found.select(F.col("current_value").alias("value")).distinct(), "value", "left_anti")
+    n = F.count(F.lit(1))
+    return rows.agg(n.alias("training_rows"),
+                    (F.count_if(forest.flags("value")) <= F.ceil(n * K.FOREST_CONTAMINATION))
+                    .alias("within_share"),
+                    (missed.agg(n).scalar() == 0).alias("far_values_found"))
+
+
 @query
 def run_duration_anomalies(spark, sf):
     """M11 for every run"""
@@ -786,14 +811,15 @@ def replay_candidates(spark, sf):
 
 @query
 def replay_source(spark, sf):
-    """The rows of one source through the same steps, into a store that has the run"""
-    rows = T.valid(spark, sf)
-    stored = dedupe.first_occurrences(rows)
-    again = rows.filter(F.col("source") == "Source B")
-    kept = dedupe.first_occurrences(again)
-    fresh = dedupe.new_records(again, stored)
-    return kept.agg(F.count(F.lit(1)).alias("processed")).withColumn(
-        "inserted", fresh.agg(F.count(F.lit(1))).scalar())
+    """One source of a stored run again, from its raw rows"""
+    tables = _new_tables(spark, "replay")
+    run_ingestion(spark, tables, [frame_source("Source A", 1, T.raw_a(spark, sf), "pos"),
+                                  frame_source("Source B", 2, T.raw_b(spark, sf), "pos"),
+                                  frame_source("Source C", 3, T.raw_c(spark, sf), "pos")],
+                  as_of=T.AS_OF, forest=False)
+    again, _ = replay_run(spark, tables, 1, "Source B", as_of=T.AS_OF, forest=False)
+    return again.select(F.col("total_processed").alias("processed"),
+                        F.col("total_inserted").alias("inserted"))
 
 
 EVENT = ["event", "run_id", "timestamp", "source", "records", "duration_ms", "error", "status"]
