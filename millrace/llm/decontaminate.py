@@ -128,20 +128,30 @@ def _shard(entries: list[tuple[int, str, np.ndarray]], term: np.ndarray, idf: np
     return Shard(own, most, blocks, question, answer, item_id)
 
 
+def _added(term: np.ndarray, df: np.ndarray, parts: list[np.ndarray]
+           ) -> tuple[np.ndarray, np.ndarray]:
+    """Terms and the number of entries that have them, with further entries."""
+    more = np.concatenate([term, *parts])
+    term, place = np.unique(more, return_inverse=True)
+    return term, np.bincount(place, np.concatenate([df, np.ones(len(more) - len(df))]),
+                             minlength=len(term))
+
+
 def index_groups(benchmark: DataFrame, shard: int = SHARD, group_bytes: int = GROUP_BYTES
                  ) -> Iterator[list[Shard]]:
     """Groups of index shards, each group small enough to broadcast."""
-    term, df = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    term, df, parts = np.zeros(0, np.uint64), np.zeros(0), []
     count = total = 0
     for _, _, code in _entries(benchmark):
         for part in _parts(code):
-            own = np.unique(part)
-            term, place = np.unique(np.concatenate([term, own]), return_inverse=True)
-            df = np.bincount(place, weights=np.concatenate([df, np.ones(len(own), np.int64)]))
+            parts.append(np.unique(part))
             count += 1
             total += len(part)
+        if len(parts) >= 4 * shard:
+            term, df, parts = *_added(term, df, parts), []
     if not count:
         return
+    term, df = _added(term, df, parts)
     idf = np.log(1 + (count - df + 0.5) / (df + 0.5))
     group, size, batch = [], 0, []
 
