@@ -31,10 +31,14 @@ def instant(column: str):
 
 
 def raw_a(spark: SparkSession, sf: str) -> DataFrame:
+    return as_feed_a(table(spark, sf, "customer"))
+
+
+def as_feed_a(customers: DataFrame) -> DataFrame:
     key = F.col("c_custkey")
     day = F.date_add(F.lit(DAY_ONE).cast("date"), (key % 28).cast("int"))
     host = F.when(key % 50 == 7, ".example.com").otherwise("@EXAMPLE.COM")
-    return table(spark, sf, "customer").select(
+    return customers.select(
         F.concat(F.lit(" C-"), key, F.lit(" ")).alias("id"),
         F.concat(F.lit(" "), "c_name").alias("name"),
         F.concat(F.lit("CUST"), key, host).alias("email"),
@@ -43,8 +47,12 @@ def raw_a(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_b(spark: SparkSession, sf: str) -> DataFrame:
+    return as_feed_b(table(spark, sf, "orders"))
+
+
+def as_feed_b(orders: DataFrame) -> DataFrame:
     key = F.col("o_custkey")
-    return table(spark, sf, "orders").select(
+    return orders.select(
         F.concat(F.lit("C-"), key).alias("customer_id"),
         F.concat(F.lit("Customer#"), F.lpad(key.cast("string"), 9, "0")).alias("full_name"),
         F.concat(F.lit("cust"), key, F.lit("@example.com")).alias("email_address"),

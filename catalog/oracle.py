@@ -686,3 +686,5 @@ ORACLE["forest_step"] = sql("""select value <= 100 or value > 20000 as anomalous
     from vals group by 1""", "vals")
 ORACLE["forest_invariants"] = sql("""select count(*) as training_rows, true as within_share,
     true as far_values_found from vals""", "vals")
+ORACLE["stream_three_feeds"] = sql("select record_hash, record_id, email, source from kept", "kept")
+ORACLE["stream_run_state_updates"] = ORACLE["run_state"]

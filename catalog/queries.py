@@ -1031,6 +1031,31 @@ def stream_ingest(spark, sf):
     return tables.records().select("record_hash", "record_id", "email")
 
 
+@query
+def stream_three_feeds(spark, sf):
+    """7.5, S1, D1: all feeds in one stream; the lowest source rank keeps a record"""
+    tables = _new_tables(spark, "feeds")
+    shaped = [("customer", T.as_feed_a), ("orders", T.as_feed_b), ("events", T.as_feed_c)]
+    rows = normalize.union_feeds([
+        normalize.normalize_feed(as_feed(T.table_stream(spark, sf, name)), f"Source {'ABC'[k]}", k + 1,
+                                 as_of=T.AS_OF) for k, (name, as_feed) in enumerate(shaped)])
+    streaming.start_ingest(spark, tables, rows, f"{tables.root}/checkpoint",
+                           as_of=T.AS_OF).awaitTermination()
+    return tables.records().select("record_hash", "record_id", "email", "source")
+
+
+@query
+def stream_run_state_updates(spark, sf):
+    """E2 in update mode over several micro-batches"""
+    root = shared_folder(spark, "updates")
+    rows = events.lifecycle_events(T.runs_with_results(spark, sf)).drop("seq")
+    rows.repartition(4, "event", "source").write.parquet(f"{root}/events")
+    arriving = (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+                .parquet(f"{root}/events"))
+    streaming.start_run_state(arriving, f"{root}/state", f"{root}/checkpoint").awaitTermination()
+    return iso(streaming.read_run_state(spark, f"{root}/state"), "last_at")
+
+
 @query
 def stream_recent_duplicates(spark, sf):
     """D5 in a stream: within the watermark each fingerprint passes once"""

@@ -12,6 +12,7 @@ from millrace.functions.asof import AsOf
 from millrace.operators.dedupe import with_fingerprint
 from millrace.operators.events import run_state, source_state
 from millrace.operators.normalize import normalize_feed
+from millrace.operators.upsert import latest_by_key
 from millrace.operators.validate import valid_records
 from millrace.plans.ingest import analyse_run, close_run, store_batch
 from millrace.sinks.tables import Tables
@@ -82,6 +83,24 @@ def stream_run_state(events: DataFrame) -> DataFrame:
     return run_state(events)
 
 
+def start_run_state(events: DataFrame, folder: str, checkpoint: str,
+                    trigger: dict | None = None) -> StreamingQuery:
+    """E2 in update mode: each micro-batch writes the runs that changed, in a folder of its
+    own that a repeated batch overwrites; read_run_state() takes the newest row of a run."""
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+
+    return (run_state(events).writeStream.outputMode("update").foreachBatch(keep)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def read_run_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Current state of every run that start_run_state() has seen."""
+    return latest_by_key(spark.read.parquet(folder), ["run_id"], ["batch"]).drop("batch")
+
+
 def stream_source_state(events: DataFrame) -> DataFrame:
     """Current state per source; write in update or complete mode."""
     return source_state(events)

@@ -14,7 +14,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 SAMPLE = ["source_counts", "normalize_mixed", "duplicate_report", "run_totals", "quality_scores",
           "alerts_latest", "alerts_all_runs", "run_deltas", "run_lineage", "activity_feed",
           "ingest_files", "ingest_repeat", "ingest_retry", "lineage_stored", "quality_of_nothing",
-          "quality_first_read", "incremental_analysis", "run_state_repeated", "stream_run_state", "source_status_upsert",
+          "quality_first_read", "incremental_analysis", "run_state_repeated", "stream_run_state",
+          "stream_run_state_updates", "stream_three_feeds", "source_status_upsert",
           "source_status_strict", "health_score", "reject_reasons", "cross_run_new"]
 
 duckdb = pytest.importorskip("duckdb")
