@@ -7,6 +7,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.functions.rules import error_list, passes_all
 
 
+# Never parsed, so filters on them may move through the rules.
+BESIDE = ("source", "source_rank", "pos", "run_id")
+
+
 def with_errors(canonical: DataFrame) -> DataFrame:
     """V1-V7: adds ``errors``, the messages that apply, in rule order."""
     return canonical.withColumn("errors", error_list())
@@ -18,9 +22,13 @@ def _only(rows: DataFrame, wanted: Column) -> DataFrame:
     Spark moves a filter below the projection that made its columns, writing their
     expressions out in the condition: every text would be parsed once for each time a
     rule mentions it, and again for the result. A generator stays above the
-    projection, so each row is parsed once.
+    projection, so each row is parsed once. Columns that cost nothing to make pass
+    beside it: a filter on the source goes on down and leaves other feeds unread.
     """
-    return rows.select(F.inline(F.when(wanted, F.array(F.struct(*rows.columns)))))
+    beside = [c for c in BESIDE if c in rows.columns]
+    made = [c for c in rows.columns if c not in BESIDE]
+    return (rows.select(*beside, F.inline(F.when(wanted, F.array(F.struct(*made)))))
+            .select(*rows.columns))
 
 
 def valid_records(canonical: DataFrame) -> DataFrame:

@@ -142,3 +142,16 @@ def test_first_wins_keeps_one_row_per_partition_before_the_shuffle(spark):
     plan = dedupe.first_occurrences(dedupe.with_fingerprint(canon(spark, [GOOD]))
                                     )._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_a_filter_on_the_source_reads_one_feed(spark, tmp_path):
+    frames = []
+    for rank, (name, column) in enumerate([("Source A", "amount"), ("Source B", "value")], 1):
+        fields = schemas.RAW[name].fieldNames()
+        path = str(tmp_path / name[-1])
+        spark.createDataFrame([tuple("1" for _ in fields)], schemas.RAW[name]).write.parquet(path)
+        frames.append(normalize.normalize_feed(
+            spark.read.parquet(path).withColumn("pos", F.lit(0)), name, rank, as_of=AS_OF))
+    rows = validate.valid_records(normalize.union_feeds(frames)).filter(F.col("source") == "Source B")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "customer_id" in plan
