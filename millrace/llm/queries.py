@@ -46,8 +46,8 @@ def op3_length_histogram(spark, sf):
 
 @query
 def op4_jaccard_join(spark, sf):
-    """Every document's set size and component of similar texts."""
-    return jaccard.jaccard_components(table(spark, sf, "documents"))
+    """Every document's set size, component of similar texts and number of links."""
+    return jaccard.jaccard_join(table(spark, sf, "documents"))
 
 
 @query
