@@ -3,8 +3,8 @@
 A candidate is a run of 16 or more letters, digits, `+ / _ -` (ASCII). Its features are its
 length, how its characters follow each other (changes of kind, entropy, letter transitions), how
 much of it dictionary words cover, whether it lies in a path or address, and the words
-beside it. The forest is trained on labelled findings, at most ``TRAIN_ROWS`` of them by a hash of
-their place, so that every candidate has the same chance; every candidate is scored.
+beside it. The forest is trained on labelled findings, about ``TRAIN_ROWS`` of each label at most, by a
+hash of their place, weighted by what they stand for; every candidate is scored.
 
 Letter transitions and the dictionary come from a fixed public vocabulary file. Candidates and
 features are made in one pass without a shuffle; training sees a bounded table. Columns give the
@@ -36,7 +36,7 @@ from millrace.llm.tables import documents, staged
 from millrace.llm.text import chunks, words
 
 SHORTEST, TRAIN_ROWS, TREES, DEPTH, THRESHOLD = 16, 20_000, 20, 6, 0.5
-CONTEXT = 48
+CONTEXT, PLACES = 48, 1 << 53
 OTHER = np.ones(256, bool)
 OTHER[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"]] = False
 
@@ -144,16 +144,21 @@ def candidates(docs: DataFrame, vocabulary: str) -> DataFrame:
 
 
 def forest(labelled: DataFrame, trees: int = TREES, depth: int = DEPTH, rows: int = TRAIN_ROWS):
-    """A function that adds ``probability`` to candidates, learned from ``labelled``."""
-    n, ones = labelled.agg(F.count("label"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    """A function that adds ``probability`` to candidates, learned from about ``rows`` of ``labelled``
+    per label, from all of a label that has no more. Each weighs as many as it stands for."""
+    count = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+    share, place = F.lit(1.0), F.pmod(F.xxhash64("doc_id", "start", "text_crc32"), F.lit(PLACES))
+    for label, n in count.items():
+        if n > rows:
+            share = F.when(F.col("label") == label, F.lit(rows / n)).otherwise(share)
+    chosen = (labelled.withColumn("share", share).filter(place < F.col("share") * PLACES)
+              .select(F.col("label").cast("double"), array_to_vector("features").alias("features"),
+                      (1 / F.col("share")).alias("weight")))
+    n, ones = chosen.agg(F.count("label"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if ones in (0, n):
         return lambda frame: frame.withColumn("probability", F.lit(1.0 if ones else 0.0))
-    share = min(1.0, rows / n)
-    place = F.pmod(F.xxhash64("doc_id", "start"), F.lit(1_000_000))
-    chosen = (labelled.filter(place < math.ceil(share * 1_000_000))
-              .select(F.col("label").cast("double"), array_to_vector("features").alias("features")))
-    model = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=trees,
-                                   maxDepth=depth, seed=7).fit(chosen)
+    model = RandomForestClassifier(labelCol="label", featuresCol="features", weightCol="weight",
+                                   numTrees=trees, maxDepth=depth, seed=7).fit(chosen)
 
     def score(frame: DataFrame) -> DataFrame:
         named = frame.withColumn("vector", array_to_vector("features")).drop("features")

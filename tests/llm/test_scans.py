@@ -180,3 +180,15 @@ def test_secret_scan(spark):
     assert len(by["word"]) == 120
     assert secrets.scan(odd.empty(spark), tokenizer_path()).count() == 0
     assert secrets.scan(odd.frame(spark), tokenizer_path()).count() >= 1
+
+
+def test_forest_learns_rare_secrets_of_a_large_table(spark):
+    few, many = 20, 30_000
+    size = len(secrets.FEATURES)
+    labelled = spark.range(few + many).selectExpr(
+        "id as doc_id", "0L as start", "20L as length", "id as text_crc32",
+        f"cast(id < {few} as int) as label",
+        f"transform(sequence(1, {size}), k -> if(id < {few}, 5D, 1D) + (id * k) % 7 / 10D) as features")
+    rated = secrets.forest(labelled, rows=50)(labelled)
+    found = rated.filter("probability >= 0.5").select("label").collect()
+    assert [r["label"] for r in found] == [1] * few
