@@ -1,6 +1,8 @@
 """Secret scan: candidates from whole texts, false positives removed by a random forest.
 
-A candidate is a run of 16 or more letters, digits, `+ / _ -` (ASCII). Its features are its
+A candidate is a run of 16 or more letters, digits, `+ / _ -` (ASCII), or, behind a word that names
+a secret and `=` or `:`, the value up to the next ASCII blank (up to the closing quote, where it is
+quoted) with whatever characters and length. A run with which such a value begins is part of it. Features are its
 length, how its characters follow each other (changes of kind, entropy, letter transitions), how
 much of it dictionary words cover, whether it lies in a path or address, and the words
 beside it. The forest is trained on labelled findings, about ``TRAIN_ROWS`` of each label at most, by a
@@ -12,7 +14,7 @@ place and a checksum, never the secret itself.
 
 The test tables have no audited findings, so ``audited`` labels what a reviewer would be sure of:
 provider keys and values assigned to a password or token are secrets, plain words and plain
-numbers are not; anything else stays unlabelled and is left to the forest. Where the labels
+numbers are not; anything else, also short plain words and numbers behind such a name, stays unlabelled and is left to the forest. Where the labels
 hold one class only, every candidate gets that class.
 
 Null and empty texts have no candidates. Repeated rows have theirs each.
@@ -41,8 +43,10 @@ OTHER = np.ones(256, bool)
 OTHER[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"]] = False
 
 # Words that name a secret, and forms of provider keys: fixed values.
-NAMES = re.compile(r"(password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth)\s*[\"']?\s*[=:]\s*[\"']?$",
-                   re.IGNORECASE)
+NAMED = r"(password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth)\s*[\"']?\s*[=:]\s*[\"']?"
+NAMES = re.compile(NAMED + "$", re.IGNORECASE)
+# In bytes; what follows is looked at only, so that a value can hold a further name.
+VALUES = re.compile(NAMED.encode() + rb"(?=(\S+))", re.IGNORECASE)
 PROVIDER = re.compile(r"(AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|sk_live_[0-9A-Za-z]{24}|"
                       r"AIza[0-9A-Za-z_-]{35}|xox[abpr]-[0-9A-Za-z-]{10,}")
 
@@ -98,7 +102,7 @@ def features(text: str, before: str, after: str, held: Dictionary) -> list[float
     beside = (before.split()[-1:] + after.split()[:1])
     lower = text.lower()
     return [
-        float(n), sum(a != b for a, b in zip(kinds, kinds[1:])) / (n - 1), entropy, len(count) / n,
+        float(n), sum(a != b for a, b in zip(kinds, kinds[1:])) / max(n - 1, 1), entropy, len(count) / n,
         kinds.count(0) / n, kinds.count(2) / n, kinds.count(3) / n, held.transitions(lower),
         held.coverage(lower), float("/" in text or "://" in glued or "/" in glued),
         float(bool(NAMES.search(before))), float(bool(re.search(r"[=:]\s*[\"']?$", before))),
@@ -108,13 +112,30 @@ def features(text: str, before: str, after: str, held: Dictionary) -> list[float
 
 def audited(text: str, before: str) -> int | None:
     """1 secret, 0 none, None unsure."""
-    if PROVIDER.fullmatch(text) or NAMES.search(before):
+    if PROVIDER.fullmatch(text):
         return 1
+    if NAMES.search(before):
+        bare = text.strip(".,;:!?()[]{}<>")
+        return None if len(text) < SHORTEST and (not bare or bare.isdigit() or bare.isalpha()) else 1
     if text.isdigit() or (text.isalpha() and (text.islower() or text.istitle())):
         return 0
     return None
 
 
+def named_values(raw: bytes, low: int, high: int) -> dict[int, tuple[int, int]]:
+    """Start: (end, start of the name) of the values behind a secret's name in raw[low:high]."""
+    out = {}
+    for m in VALUES.finditer(raw[low:high]):
+        quote, value = m.group()[-1:], m.group(2)
+        if quote in (b"'", b'"'):
+            value = value.split(quote, 1)[0]
+        else:
+            value = value.rstrip(b"\"'")
+        if value:
+            out.setdefault(low + m.end(), (low + m.end() + len(value), low + m.start()))
+    return out
+
+
 def candidates(docs: DataFrame, vocabulary: str) -> DataFrame:
     """Every candidate with its place, checksum, audited label (or null) and features."""
     names = ["doc_id", "start", "length", "text_crc32", "label", "features"]
@@ -125,13 +146,18 @@ def candidates(docs: DataFrame, vocabulary: str) -> DataFrame:
             runs = words(data, at, OTHER, lower=False)
             row_of = np.repeat(np.arange(len(at) - 1), np.diff(runs.first))
             raw, out = data.tobytes(), []
-            for k in np.flatnonzero(runs.end - runs.start >= SHORTEST).tolist():
-                a, b, row = int(runs.start[k]), int(runs.end[k]), int(row_of[k])
-                text = raw[a:b].decode()
-                before = raw[max(int(at[row]), a - CONTEXT):a].decode("utf-8", "ignore")
+            long = runs.end - runs.start >= SHORTEST
+            places = {a: (b, a, r) for a, b, r in
+                      zip(runs.start[long].tolist(), runs.end[long].tolist(), row_of[long].tolist())}
+            for r, (low, high) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
+                for a, (b, name) in named_values(raw, low, high).items():
+                    places[a] = (max(b, places.get(a, (b,))[0]), name, r)
+            for a, (b, name, row) in sorted(places.items()):
+                text = raw[a:b].decode("utf-8", "replace")
+                before = raw[max(int(at[row]), min(name, a - CONTEXT)):a].decode("utf-8", "ignore")
                 after = raw[b:min(int(at[row + 1]), b + CONTEXT)].decode("utf-8", "ignore")
                 start = len(raw[int(at[row]):a].decode("utf-8", "replace"))
-                out.append((row, start, b - a, zlib.crc32(raw[a:b]), audited(text, before),
+                out.append((row, start, len(text), zlib.crc32(raw[a:b]), audited(text, before),
                             features(text, before, after, held)))
             if out:
                 row, start, length, code, label, feature = zip(*out)

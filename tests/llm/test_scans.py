@@ -192,3 +192,18 @@ def test_forest_learns_rare_secrets_of_a_large_table(spark):
     rated = secrets.forest(labelled, rows=50)(labelled)
     found = rated.filter("probability >= 0.5").select("label").collect()
     assert [r["label"] for r in found] == [1] * few
+
+
+def test_values_behind_a_name_are_candidates(spark):
+    texts = {"é password=hunter2prod now": "hunter2prod", 'pwd: "a.b!c@d#e$f~g", x': "a.b!c@d#e$f~g",
+             "token=abcdefghijklmnopqrst.uvw!9 z": "abcdefghijklmnopqrst.uvw!9", "secret = ü7 end": "ü7",
+             "api_key='k1'": "k1", "auth=x": "x", '"passwd=q1w2"': "q1w2", "secret:" + " " * 90 + "z9": "z9"}
+    docs = odd.plain(spark, [*texts, "password=", 'password=""', "author: hunter2prod", None])
+    found = secrets.candidates(docs, tokenizer_path()).collect()
+    every = list(texts)
+    got = {(r["doc_id"], every[r["doc_id"]][r["start"]:r["start"] + r["length"]]) for r in found}
+    assert got == set(enumerate(texts.values())) and len(found) == len(texts)
+    label = {texts[every[r["doc_id"]]]: r["label"] for r in found}
+    assert label["hunter2prod"] == 1 and label["x"] is None and label["z9"] == 1
+    both = secrets.candidates(odd.plain(spark, ["token=password=abc1"]), tokenizer_path()).collect()
+    assert sorted((r["start"], r["length"]) for r in both) == [(6, 13), (15, 4)]
