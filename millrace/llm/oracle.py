@@ -34,13 +34,16 @@ links as (
     select x, y from pairs join sizes p on p.doc_id = x join sizes q on q.doc_id = y
     where 100 * o >= 80 * (p.n + q.n - o)),
 edges as (select x, y from links union all select y, x from links),
+linked as (select x, count(*) as n_links from edges group by x),
 reach as (
     select x, y from edges
     union
     select reach.x, edges.y from reach join edges on reach.y = edges.x)
 select d.doc_id, coalesce(any_value(n), 0) as n_shingles,
-       least(d.doc_id, coalesce(min(reach.y), d.doc_id)) as component_id
-from documents d left join sizes using (doc_id) left join reach on reach.x = d.doc_id
+       least(d.doc_id, coalesce(min(reach.y), d.doc_id)) as component_id,
+       coalesce(any_value(linked.n_links), 0) as n_links
+from documents d left join sizes using (doc_id) left join linked on linked.x = d.doc_id
+left join reach on reach.x = d.doc_id
 group by d.doc_id
 """
 
@@ -100,3 +103,48 @@ select page_id, host, path, rule,
        coalesce(says, case when distrusted then 'block' else 'allow' end) as verdict
 from rows left join per using (host)
 """
+
+ORACLE["op11_hard_negatives"] = r"""
+with usable as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: floor(256 * x::double)) as v
+    from embeddings
+    where label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+    select a.vec_id as anchor_id, r.vec_id as other_id, a.label = r.label as same,
+           cast(list_dot_product(a.v, r.v) as bigint) as score
+    from usable a join usable r on a.vec_id <> r.vec_id
+    where a.vec_id % 50 = 0),
+positives as (
+    select anchor_id, other_id as positive_id, score as positive_score
+    from scored where same
+    qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5),
+found as (
+    select p.anchor_id, p.positive_id,
+           row_number() over (partition by p.anchor_id, p.positive_id order by n.score desc, n.other_id) as place,
+           n.other_id as negative_id, p.positive_score, n.score as negative_score
+    from positives p join scored n on n.anchor_id = p.anchor_id and not n.same
+     and 50 * p.positive_score <= 100 * n.score and 100 * n.score <= 95 * p.positive_score)
+select anchor_id, positive_id, cast(place as integer) as rank, negative_id, positive_score, negative_score
+from found where place <= 3
+"""
+
+ORACLE["op12_line_dedup"] = r"""
+with split as (
+    select doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents),
+lines as (select doc_id, unnest(l) as line, unnest(range(len(l))) as pos from split),
+keyed as (
+    select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+    from lines),
+repeated as (
+    select key, max(doc_id) as keeper from keyed where length(key) >= 40
+    group by key having count(distinct doc_id) >= 5),
+judged as (
+    select doc_id, line, pos, keeper is not null and doc_id <> keeper as goes
+    from keyed left join repeated using (key))
+select doc_id, count(*) as n_lines, count(*) filter (where goes) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not goes), '')) as kept_sha256
+from judged group by doc_id
+"""

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import (decontaminate, exact_dedup as dedup, jaccard, language, packing,
-                          secrets_forest, shards, token_lengths, toxicity, url_trust)
+from millrace.llm import (decontaminate, exact_dedup as dedup, hard_negatives, jaccard, language,
+                          line_dedup, packing, periodic, secrets_forest, shards, token_lengths, toxicity,
+                          url_trust)
 from millrace.llm.tables import staged, table
 from millrace.llm.tokens import tokenizer_path
 from millrace.session import configure
@@ -86,3 +87,29 @@ def op9_language(spark, sf):
 def op10_toxicity(spark, sf):
     """Every document's toxicity score."""
     return toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op11_hard_negatives(spark, sf):
+    """The best rows of other labels below each positive of every fiftieth row."""
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf, "embeddings"), relabelled, F.col("vec_id") % 50 == 0)
+
+
+@query
+def op12_line_dedup(spark, sf):
+    """Every document's number of lines and what stays of them."""
+    found = line_dedup.without_repeated_lines(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op13_periodic_runs(spark, sf):
+    """Every document's runs of repeated words, the strongest one, and its text without them."""
+    found = periodic.find_runs(periodic.with_cycles(table(spark, sf, "documents")))
+    listed = F.expr("""array_join(transform(runs, r -> concat_ws(',', r.start, r.length, r.period) || '\n'), '')""")
+    rows = found.withColumn("best", periodic.best_run())
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"))
