@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -20,13 +22,32 @@ SETTINGS = {
 }
 
 
+_SHIPPED: set[str] = set()
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the library's SQL settings to an existing session."""
+    """Apply the library's SQL settings to an existing session, and send it the package."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Python workers import this package; it travels with the session, once, as an archive that
+    Spark hands to every executor, whatever their folder or PYTHONPATH."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="millrace-package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "millrace", memory: str = "8g") -> SparkSession:
     """Single-machine session for tests and benches."""
