@@ -654,7 +654,9 @@ ORACLE: dict[str, str] = {
         where source = 'Source C'""", "valid"),
 }
 ORACLE["stream_run_state"] = ORACLE["run_state"]
-ORACLE["ingest_repeat"] = ORACLE["ingest_run"]
+ORACLE["ingest_repeat"] = (
+    "select *, 1::bigint as quality_rows, 1::bigint as health_rows, 3::bigint as source_rows, "
+    f"1::bigint as run_rows, 8::bigint as event_rows from ({ORACLE['ingest_run']})")
 ORACLE["run_state_repeated"] = ORACLE["run_state"]
 ORACLE["ingest_files"] = sql("""
     select case source when 'Source C' then 'Feed M' else source end as source,
@@ -688,3 +690,35 @@ ORACLE["forest_invariants"] = sql("""select count(*) as training_rows, true as w
     true as far_values_found from vals""", "vals")
 ORACLE["stream_three_feeds"] = sql("select record_hash, record_id, email, source from kept", "kept")
 ORACLE["stream_run_state_updates"] = ORACLE["run_state"]
+ORACLE["run_state_keyed"] = f"select *, 2 as attempt from ({ORACLE['run_state']})"
+ORACLE["numbers_in_other_digits"] = """
+    select script, count(*) as texts, count(v) as numbers, round(sum(v), 2) as total
+    from (select l_linenumber % 4 as script, case l_linenumber % 4 when 0 then q
+          when 1 then -cast(q || '.' || k as double)
+          when 2 then cast(q || lpad(cast(k as varchar), 3, '0') as double) end as v
+        from (select *, cast(l_quantity as int) as q, l_orderkey % 1000 as k from lineitem))
+    group by script"""
+ORACLE["week_dates_with_time"] = f"""
+    select o_orderkey, {iso('t')} as instant
+    from (select o_orderkey, case o_orderkey % 5 when 0 then s when 1 then s
+          when 2 then date_trunc('week', s) + (date_trunc('minute', s) - date_trunc('day', s)) - interval 2 hour
+          when 3 then null
+          else date_trunc('week', s) + (date_trunc('hour', s) - date_trunc('day', s)) end as t
+        from (select o_orderkey, date_trunc('second', cast(o_orderdate as timestamp)) as s from orders))"""
+ORACLE["events_live"] = """
+    with n as (select (select count(*) from customer) + (select count(*) from events) as n)
+    select 1::bigint as run_id, attempt, event, k::bigint as events, 1::bigint as times,
+        cast(case when event = 'SOURCE_COMPLETED' then n else 0 end as bigint) as records
+    from n, (values (1), (2)) a(attempt), (values ('INGESTION_STARTED', 1), ('SOURCE_STARTED', 2),
+        ('SOURCE_COMPLETED', 2), ('INGESTION_COMPLETED', 1)) e(event, k)"""
+ORACLE["compacted_store"] = sql("""
+    select count(distinct record_hash) as records, count(distinct record_hash) as different,
+        count(distinct run_id) as runs, true as few_files, true as swapped, true as same_for_readers
+    from (select record_hash, min(pos) % 20 as run_id from valid where source = 'Source A' group by 1)""", "valid")
+ORACLE["incremental_forest"] = sql("""select count(distinct record_hash) as trained, true as same_steps, true as same_scores,
+    true as same_threshold, true as same_ranges from valid""", "valid")
+ORACLE["health_first_read"] = sql("select *, true as same, 1::bigint as snapshots from ("
+                                  + _health("runs", HEALTHY, "0") + ")", "runs", "merged")
+ORACLE["alerts_reraised"] = sql("""
+    select severity, source, status, 2::bigint as alerts, 1 as after_first, 1 as after_repeat
+    from cluster""", "cluster")

@@ -10,13 +10,13 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalog import feeds as T
-from millrace import contract as K
+from millrace import contract as K, schemas
 from millrace.functions.instants import iso_format, parse_instant, parse_iso
 from millrace.functions.text import clean_email, clean_text, to_number
 from millrace.operators import (alerts, anomaly, compare, dedupe, events, health, lineage,
                                 normalize, quality, reads, runs, upsert, validate)
-from millrace.plans.ingest import (lineage_of, quality_or_compute, replay_run, run_ingestion,
-                                   source_summary)
+from millrace.plans.ingest import (health_or_compute, lineage_of, quality_or_compute, replay_run,
+                                   run_forest, run_ingestion, source_summary, summarise_values)
 from millrace.session import configure, shared_folder
 from millrace.sinks.tables import Tables
 from millrace.operators.counters import value_stats_of
@@ -146,6 +146,37 @@ def instant_grammar(spark, sf):
         "o_orderkey", iso_format(parse_instant(text)).alias("instant"))
 
 
+@query
+def numbers_in_other_digits(spark, sf):
+    """Digits of other scripts, also mixed with ASCII ones, and grouped"""
+    q, k = F.col("l_quantity").cast("int").cast("string"), (F.col("l_orderkey") % 1000).cast("string")
+    script = F.col("l_linenumber") % 4
+    ascii_digits = "0123456789"
+    arabic, wide, bold = ("".join(chr(z + d) for d in range(10)) for z in (0x660, 0xFF10, 0x1D7CE))
+    text = (F.when(script == 0, F.concat(F.lit(" "), F.translate(q, ascii_digits, arabic)))
+            .when(script == 1, F.concat(F.lit("-"), F.translate(q, ascii_digits, wide), F.lit("."), k))
+            .when(script == 2, F.concat(F.translate(q, ascii_digits, bold), F.lit("_"),
+                                        F.lpad(F.translate(k, ascii_digits, arabic), 3, chr(0x660))))
+            .otherwise(F.concat(F.translate(q, ascii_digits, arabic), F.lit("x"))))
+    return (T.table(spark, sf, "lineitem").select(script.alias("script"), to_number(text).alias("v"))
+            .groupBy("script").agg(F.count(F.lit(1)).alias("texts"), F.count("v").alias("numbers"),
+                                   F.round(F.sum("v"), 2).alias("total")))
+
+
+@query
+def week_dates_with_time(spark, sf):
+    """P5: ISO week dates with a time behind them"""
+    at, form = T.instant("o_orderdate"), F.col("o_orderkey") % 5
+    year, week = F.extract(F.lit("YEAROFWEEK"), at).cast("string"), F.lpad(F.weekofyear(at).cast("string"), 2, "0")
+    day = (F.weekday(at) + 1).cast("string")
+    text = (F.when(form == 0, F.concat(year, F.lit("-W"), week, F.lit("-"), day, F.date_format(at, "'T'HH:mm:ss")))
+            .when(form == 1, F.concat(year, F.lit("W"), week, day, F.date_format(at, "' 'HHmmss")))
+            .when(form == 2, F.concat(year, F.lit("-W"), week, F.date_format(at, "'T'HH:mm'+02:00'")))
+            .when(form == 3, F.concat(year, F.lit("-W54-"), day, F.date_format(at, "'T'HH:mm")))
+            .otherwise(F.concat(year, F.lit("W"), week, F.date_format(at, "'T'HH'Z'"))))
+    return T.table(spark, sf, "orders").select("o_orderkey", iso_format(parse_instant(text)).alias("instant"))
+
+
 @query
 def fingerprint(spark, sf):
     """P8"""
@@ -916,15 +947,17 @@ def ingest_files(spark, sf):
 
 @query
 def ingest_repeat(spark, sf):
-    """A1, K2: the same run twice under one run id changes nothing"""
+    """The same run twice under one run id changes nothing"""
     tables = _new_tables(spark, "repeat")
     specs = [frame_source("Source A", 1, T.raw_a(spark, sf), "pos"),
              frame_source("Source B", 2, T.raw_b(spark, sf), "pos"),
              frame_source("Source C", 3, T.raw_c(spark, sf), "pos")]
     for _ in range(2):
         run = run_ingestion(spark, tables, specs, run_id=1, as_of=T.AS_OF, forest=False)
-    counts = [tables.read(t).agg(F.count(F.lit(1))).scalar().alias(n) for t, n in
-              (("records", "stored"), ("rejects", "rejects"), ("duplicates", "duplicates"))]
+    counts = [rows.agg(F.count(F.lit(1))).scalar().alias(n) for rows, n in (
+        (tables.read("records"), "stored"), (tables.read("rejects"), "rejects"), (tables.read("duplicates"), "duplicates"),
+        (tables.read("quality_metrics"), "quality_rows"), (tables.read("pipeline_health"), "health_rows"),
+        (tables.sources(), "source_rows"), (tables.runs(), "run_rows"), (tables.read("events"), "event_rows"))]
     return run.select(*RUN, "total_inserted", *counts)
 
 
@@ -1053,7 +1086,114 @@ def stream_run_state_updates(spark, sf):
     arriving = (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
                 .parquet(f"{root}/events"))
     streaming.start_run_state(arriving, f"{root}/state", f"{root}/checkpoint").awaitTermination()
-    return iso(streaming.read_run_state(spark, f"{root}/state"), "last_at")
+    return iso(streaming.read_run_state(spark, f"{root}/state").drop("attempt", "silent"), "last_at")
+
+
+@query
+def run_state_keyed(spark, sf):
+    """E2 with keyed state: events of two attempts at every run in shuffled micro-batches; the later
+    attempt counts, whichever comes first"""
+    root = shared_folder(spark, "keyed")
+    rows = events.lifecycle_events(T.runs_with_results(spark, sf)).drop("seq")
+    broken = rows.filter("event <> 'INGESTION_COMPLETED'").withColumns({
+        "attempt": F.lit(1), "timestamp": F.expr("timestamp + interval 2 days"), "records": F.lit(7).cast("bigint")})
+    both = broken.unionByName(rows.withColumn("attempt", F.lit(2)))
+    both.repartition(5, F.xxhash64("run_id", "event", "source", "attempt")).write.parquet(f"{root}/events")
+    arriving = (spark.readStream.schema(both.schema).option("maxFilesPerTrigger", 1)
+                .parquet(f"{root}/events"))
+    streaming.start_run_state(arriving, f"{root}/state", f"{root}/checkpoint").awaitTermination()
+    return iso(streaming.read_run_state(spark, f"{root}/state").drop("silent"), "last_at")
+
+
+@query
+def events_live(spark, sf):
+    """A run and its repetition while a stream reads the log: every event of both attempts once"""
+    tables = _new_tables(spark, "live")
+    specs = [frame_source("Source A", 1, T.raw_a(spark, sf), "pos"),
+             frame_source("Source C", 2, T.raw_c(spark, sf), "pos")]
+    seen = f"{tables.root}/seen"
+    stream = (streaming.event_stream(spark, tables).writeStream.format("parquet")
+              .option("checkpointLocation", f"{tables.root}/checkpoint").option("path", seen)
+              .trigger(processingTime="1 second").start())
+    try:
+        for _ in range(2):
+            run_ingestion(spark, tables, specs, run_id=1, as_of=T.AS_OF, forest=False)
+            stream.processAllAvailable()
+    finally:
+        stream.stop()
+    arrived = spark.read.schema(schemas.EVENTS).parquet(seen)
+    return (arrived.groupBy("run_id", "attempt", "seq", "event", "source", "records").count()
+            .groupBy("run_id", "attempt", "event").agg(
+                F.count(F.lit(1)).alias("events"), F.max("count").alias("times"),
+                F.coalesce(F.sum("records"), F.lit(0)).alias("records")))
+
+
+@query
+def compacted_store(spark, sf):
+    """K2: twenty appends with compaction in between; files per bucket, and what a reader sees that
+    began before a swap"""
+    root = shared_folder(spark, "compacted")
+    tables = Tables(spark, root, "millrace_" + root.rsplit("-", 1)[1].lower(), buckets=4, files_per_bucket=2).create()
+    rows = dedupe.first_occurrences(dedupe.with_fingerprint(validate.valid_records(T.feed(spark, sf, "Source A"))))
+    before, swaps, same = None, 0, True
+    for k in range(20):
+        tables.save_records(rows.filter(F.col("pos") % 20 == k), k + 1)
+        before = tables.read("records")
+        if tables.compact_if_needed():
+            swaps += 1
+            same = same and before.count() == tables.read("records").count()
+    most = max(tables.record_files().values())
+    return tables.read("records").agg(
+        F.count(F.lit(1)).alias("records"), F.countDistinct("record_hash").alias("different"),
+        F.countDistinct("run_id").alias("runs")).select(
+        "*", F.lit(most <= 2).alias("few_files"), F.lit(swaps > 1).alias("swapped"), F.lit(same).alias("same_for_readers"))
+
+
+@query
+def incremental_forest(spark, sf):
+    """The forest from what three runs have left, against a fit on all their records"""
+    tables = _new_tables(spark, "forest")
+    for k in range(3):
+        rows = dedupe.with_fingerprint(validate.valid_records(T.feed(spark, sf, f"Source {'ABC'[k]}")))
+        tables.save_records(dedupe.first_occurrences(rows), k + 1)
+        summarise_values(tables, k + 1)
+    stored, whole = run_forest(tables, 3), fit_forest(tables.records(), ("record_hash",))
+    kept = tables.read("value_counts").agg(F.sum("rows").alias("trained"))
+    return kept.select("trained", F.lit(bool(np.array_equal(stored.borders, whole.borders))).alias("same_steps"),
+                       F.lit(bool(np.array_equal(stored.scores, whole.scores))).alias("same_scores"),
+                       F.lit(bool(stored.threshold == whole.threshold)).alias("same_threshold"),
+                       F.lit(stored.intervals() == whole.intervals()).alias("same_ranges"))
+
+
+@query
+def health_first_read(spark, sf):
+    """The first read computes the health of the stored runs and stores it, the second finds it"""
+    tables = _new_tables(spark, "health")
+    some = T.runs(spark, sf)
+    tables.save_run(some)
+    tables.save_source_status(T.source_log(spark, sf))
+    first = health_or_compute(tables, T.AS_OF).first()
+    again = health_or_compute(tables, "2025-01-01 00:00:00")
+    return again.select(
+        "overall_score", "availability", "latency", "validation", "reliability", "status",
+        (F.col("updated_at") == F.lit(first["updated_at"])).alias("same"),
+        tables.read("pipeline_health").agg(F.count(F.lit(1))).scalar().alias("snapshots"))
+
+
+@query
+def alerts_reraised(spark, sf):
+    """Anomalies of the first half of the runs, scanned twice, then those of all: the second scan
+    raises nothing, the later one raises the cluster again"""
+    tables = _new_tables(spark, "reraised")
+    none, log = T.runs(spark, sf).limit(0), T.source_log(spark, sf).limit(0)
+    found = _anomalies(spark, sf)
+    first = found.filter(F.col("run_id") <= 15)
+    scans = []
+    for rows in (first, first, found):
+        tables.save_alerts(alerts.scan_alerts(log, none, rows, as_of=T.AS_OF))
+        scans.append(tables.alerts().count())
+    return tables.alerts().groupBy("severity", "source", "status").agg(F.count(F.lit(1)).alias("alerts")).select(
+        "*", F.lit(scans[0]).alias("after_first"), F.lit(scans[1]).alias("after_repeat"))
 
 
 @query

@@ -17,6 +17,7 @@ PLAIN = r"^\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{1,2}:\d{1,2}$"
 EXTENDED = (r"^\d{4}-\d\d-\d\d(?:T\d\d(?::\d\d(?::\d\d(?:\.\d+)?)?)?"
             r"(?:[+-]\d\d(?::\d\d(?::\d\d)?)?)?)?$")
 WEEK_DATE = r"^(\d{4})-?W(\d\d)(?:-?([1-7]))?$"
+WEEK_AND_TIME = (r"^(\d{4}-W\d\d-[1-7](?=\D)|\d{4}W\d\d[1-7]?(?=\D)|\d{4}-W\d\d(?=\D)).(\d\d.*)$")
 
 
 def _iso_text(text: Column) -> Column:
@@ -27,6 +28,9 @@ def _iso_text(text: Column) -> Column:
         (r"^(.{10}T\d\d)(\d\d)(\d\d)?(?=[^\d:]|$)", "$1:$2:$3"),
         (r"^(.{10}T\d\d:\d\d):(?=[^\d]|$)", "$1"),
         (r"([+-]\d\d)(\d\d)$", "$1:$2"),
+        # A cast takes an offset behind seconds only.
+        (r"T(\d\d)([+-])", "T$1:00$2"),
+        (r"T(\d\d:\d\d)([+-])", "T$1:00$2"),
     ]
     out = F.replace(F.replace(text, F.lit("Z"), F.lit("+00:00")), F.lit(","), F.lit("."))
     for pattern, replacement in rewrites:
@@ -44,10 +48,17 @@ def _week_date(text: Column) -> Column:
     return F.when(F.weekofyear(date) == week, date.cast("timestamp"))
 
 
-def _other_iso(text: Column) -> Column:
+def _extended(text: Column) -> Column:
     # No match extracts '', which casts to null.
+    return F.regexp_extract(_iso_text(text), EXTENDED, 0).try_cast("timestamp")
+
+
+def _other_iso(text: Column) -> Column:
+    day = F.date_format(_week_date(F.regexp_extract(text, WEEK_AND_TIME, 1)), "yyyy-MM-dd")
     return (F.when(text.rlike(WEEK_DATE), _week_date(text))
-            .otherwise(F.regexp_extract(_iso_text(text), EXTENDED, 0).try_cast("timestamp")))
+            .when(text.rlike(WEEK_AND_TIME),
+                  _extended(F.concat(day, F.lit("T"), F.regexp_extract(text, WEEK_AND_TIME, 2))))
+            .otherwise(_extended(text)))
 
 
 def parse_instant(c: Column | str, stripped: bool = False) -> Column:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+from functools import lru_cache
+
 from pyspark.sql import Column, functions as F
 
 # The characters that count as white space when text is trimmed.
@@ -36,16 +40,29 @@ def clean_email(c: Column | str) -> Column:
     return F.lower(clean_text(c))
 
 
+@lru_cache(maxsize=1)
+def _other_digits() -> tuple[str, str]:
+    """The decimal digits of all scripts but ASCII, and the ASCII digit that each stands for."""
+    found = [c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.decimal(c, None) is not None]
+    return "".join(found), "".join(str(unicodedata.decimal(c)) for c in found)
+
+
+def ascii_digits(text: Column) -> Column:
+    """Decimal digits of any script as ASCII digits."""
+    plain = F.octet_length(text) == F.char_length(text)
+    return F.when(plain, text).otherwise(F.translate(text, *_other_digits()))
+
+
 def to_number(c: Column | str, stripped: bool = False) -> Column:
     """Text to double, anything that is not a number becomes null.
     ``stripped`` says that the text has no outer white space any more.
 
     The shape is checked first because a plain cast also takes ``1d`` and hex
-    floats, and does not take grouped digits.
+    floats, and takes neither grouped digits nor those of other scripts.
     """
     text = _col(c) if stripped else strip(c)
     # Of these characters alone, a cast takes exactly the numbers; '' is no match.
-    grouped = F.replace(F.regexp_extract(text, FLOAT_PATTERN, 0), F.lit("_"), F.lit(""))
+    grouped = F.replace(F.regexp_extract(ascii_digits(text), FLOAT_PATTERN, 0), F.lit("_"), F.lit(""))
     return (F.when(text.rlike(NUMBER_CHARACTERS), text.try_cast("double"))
             .when(text.rlike(INFINITY_PATTERN), text.try_cast("double"))
             .when(text.rlike(NAN_PATTERN), F.lit(float("nan")))

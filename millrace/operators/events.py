@@ -31,6 +31,19 @@ def _after(start: Column, ms: Column) -> Column:
 def lifecycle_events(runs: DataFrame) -> DataFrame:
     """The events of each run, from its row alone: started, per source started
     and completed or failed, finished. ``seq`` is the order within a run."""
+    return one_by_one(event_lists(runs))
+
+
+def one_by_one(lists: DataFrame) -> DataFrame:
+    """Rows of event_lists() as one row per event; columns beside the list stay."""
+    beside = [c for c in lists.columns if c not in ("run_id", "events")]
+    return (lists.select("run_id", *beside, F.posexplode("events").alias("seq", "_e"))
+            .select(F.col("_e.event").alias("event"), "run_id", "_e.timestamp", "_e.source",
+                    "_e.records", "_e.duration_ms", "_e.error", "_e.status", "seq", *beside))
+
+
+def event_lists(runs: DataFrame) -> DataFrame:
+    """run_id and the list of its events, in order."""
     start = F.col("started_at")
 
     def of_source(r: Column) -> Column:
@@ -48,9 +61,7 @@ def lifecycle_events(runs: DataFrame) -> DataFrame:
     first = F.array(_event("INGESTION_STARTED", start))
     last = F.array(_event("INGESTION_COMPLETED", finish, status=F.col("status"),
                           duration_ms=F.col("duration_ms")))
-    return (runs.select("run_id", F.posexplode(F.concat(first, inner, last)).alias("seq", "_e"))
-            .select(F.col("_e.event").alias("event"), "run_id", "_e.timestamp", "_e.source",
-                    "_e.records", "_e.duration_ms", "_e.error", "_e.status", "seq"))
+    return runs.select("run_id", F.concat(first, inner, last).alias("events"))
 
 
 def event_json(events: DataFrame) -> DataFrame:

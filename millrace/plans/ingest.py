@@ -12,10 +12,11 @@ from millrace import contract as K, schemas
 from millrace.functions.asof import AsOf, as_instant
 from millrace.functions.rules import passes_all
 from millrace.operators.alerts import scan_alerts
-from millrace.operators.anomaly import detect_value_anomalies, run_anomalies, value_anomalies
+from millrace.operators.anomaly import run_anomalies, value_anomalies
 from millrace.operators.counters import run_counters, value_stats_of
 from millrace.operators.dedupe import duplicate_report, with_fingerprint
-from millrace.operators.events import lifecycle_events
+from millrace.operators.events import event_lists
+from millrace.operators.forest import Forest, bottom_sample, fit_stored, value_counts
 from millrace.operators.health import pipeline_health
 from millrace.operators.lineage import lineage_with_fallback, nest_lineage
 from millrace.operators.normalize import union_feeds
@@ -73,6 +74,7 @@ def run_ingestion(spark: SparkSession, tables: Tables, specs: Sequence[SourceSpe
                                        {s.rank: s.name for s in specs})
     close_run(spark, tables, outcomes, counts, run_id, started, duration_ms, inserted, as_of)
     analyse_run(tables, run_id, as_of=as_of, forest=forest)
+    tables.compact_if_needed()
     return tables.runs().filter(F.col("run_id") == run_id)
 
 
@@ -113,12 +115,13 @@ def store_batch(spark: SparkSession, tables: Tables, canonical: DataFrame, run_i
 def close_run(spark: SparkSession, tables: Tables, outcomes: Sequence[Outcome],
               counts: dict[str, tuple[int, int, int]], run_id: int, started: datetime,
               duration_ms: float, inserted: int, as_of: AsOf = None) -> None:
-    """Source status, then the run row, then the events. Only one row
-    per source is on the driver."""
+    """Source status, then the run row, then the events; raw rows of failed
+    attempts go last. Only one row per source is on the driver."""
     run = _run_row(spark, outcomes, counts, run_id, started, duration_ms, inserted)
     tables.save_source_status(_status_rows(outcome_frame(spark, outcomes, run_id), counts, as_of))
     tables.save_run(run)
-    tables.replace_run("events", lifecycle_events(run), run_id)
+    tables.log_events(event_lists(run), run_id)
+    tables.drop_unused_raw(run_id, [o.raw_path for o in outcomes if o.raw_path])
 
 
 def _run_row(spark: SparkSession, outcomes: Sequence[Outcome],
@@ -160,31 +163,47 @@ def analyse_run(tables: Tables, run_id: int, *, as_of: AsOf = None, forest: bool
     """Quality, anomalies, health and alerts after a run.
 
     Scanned for anomalies are the records of this run, with all earlier ones as their
-    history; a first run is its own history. Scores and statistics come from the counters
-    that each run leaves, so without the forest no record of an earlier run is read.
+    history; a first run is its own history. Scores, statistics and the forest come from the
+    counters, samples and value counts that each run leaves: no record of an earlier run is
+    read.
     """
     scan = tables.records().filter(F.col("run_id") == run_id)
     tables.replace_run("run_counters", run_counters(scan), run_id)
     counters = tables.read("run_counters")
     tables.save_quality(snapshot_of(counters, None, run_id, as_of))
     earlier = not counters.filter(F.col("run_id") < run_id).isEmpty()
-    if forest:
-        history = tables.records().filter(F.coalesce(F.col("run_id") < run_id, F.lit(True)))
-        found = detect_value_anomalies(scan, history if earlier else None, run_id=run_id, as_of=as_of)
-    else:
-        stats = value_stats_of(counters.filter(F.col("run_id") <= run_id), not earlier)
-        found = value_anomalies(scan, run_id=run_id, as_of=as_of, stats=stats)
+    stats = value_stats_of(counters.filter(F.col("run_id") <= run_id), not earlier)
+    found = value_anomalies(scan, run_id=run_id, as_of=as_of, stats=stats,
+                            forest=run_forest(tables, run_id) if forest else None)
     runs = tables.runs()
     tables.save_anomalies(found.unionByName(run_anomalies(runs, as_of=as_of)))
-    tables.save_health(pipeline_health(runs, tables.sources(), tables.anomalies(), as_of))
+    tables.save_health(pipeline_health(runs, tables.sources(), tables.anomalies(), as_of), run_id)
     tables.save_alerts(scan_alerts(tables.sources(), runs, tables.anomalies(), as_of=as_of))
 
 
+def summarise_values(tables: Tables, run_id: int) -> None:
+    """M5: what a run adds to the training of later forests: its rows among the sample of all runs
+    so far, and how often its values occur."""
+    scan = tables.records().filter(F.col("run_id") == run_id)
+    earlier = tables.read("forest_samples").filter(F.col("run_id") < run_id)
+    tables.replace_run("forest_samples", bottom_sample(scan, ("record_hash",), beside=earlier), run_id)
+    tables.replace_run("value_counts", value_counts(scan), run_id)
+
+
+def run_forest(tables: Tables, run_id: int) -> Forest | None:
+    """The forest of all values up to a run, from what the runs have left."""
+    summarise_values(tables, run_id)
+    known = F.col("run_id") <= run_id
+    return fit_stored(tables.read("forest_samples").filter(known), tables.read("value_counts").filter(known))
+
+
 def rebuild_counters(tables: Tables) -> None:
-    """Counters of every stored run, for a store that was filled without them."""
-    for row in tables.runs().select("run_id").toLocalIterator():
+    """Counters, samples and value counts of every stored run, for a store that was filled
+    without them."""
+    for row in tables.runs().select("run_id").orderBy("run_id").toLocalIterator():
         scan = tables.records().filter(F.col("run_id") == row["run_id"])
         tables.replace_run("run_counters", run_counters(scan), row["run_id"])
+        summarise_values(tables, row["run_id"])
 
 
 def replay_run(spark: SparkSession, tables: Tables, run_id: int, source: str | None = None, *,

@@ -56,22 +56,32 @@ ALERTS = _struct(("id", _S), ("severity", _S), ("title", _S), ("description", _S
                  ("timestamp", _TS))
 ALERT_STATUS = _struct(("id", _S), ("status", _S), ("at", _TS))
 HEALTH = _struct(("overall_score", _D), ("availability", _D), ("latency", _D),
-                 ("validation", _D), ("reliability", _D), ("status", _S), ("updated_at", _TS))
+                 ("validation", _D), ("reliability", _D), ("status", _S), ("updated_at", _TS),
+                 ("run_id", _L))
 LINEAGE = _struct(("record_id", _S), ("record_hash", _S), ("source", _S), ("run_id", _L),
                   ("stage_no", _I), ("stage", _S), ("status", _S), ("details", _TEXT_MAP),
                   ("timestamp", _TS))
-EVENTS = _struct(("event", _S), ("run_id", _L), ("timestamp", _TS), ("source", _S),
-                 ("records", _L), ("duration_ms", _D), ("error", _S), ("status", _S))
+_EVENT = (("event", _S), ("timestamp", _TS), ("source", _S), ("records", _L), ("duration_ms", _D),
+          ("error", _S), ("status", _S))
+EVENTS = _struct(("run_id", _L), ("attempt", _I), ("seq", _I), *_EVENT)
+# One row, and so one file, per attempt at a run: all its events appear at once.
+EVENT_LOG = _struct(("run_id", _L), ("attempt", _I), ("events", T.ArrayType(_struct(*_EVENT))))
+RUN_STATE = _struct(("run_id", _L), ("attempt", _I), ("last_event", _S), ("last_at", _TS), ("finished", T.BooleanType()),
+                    ("status", _S), ("sources_completed", _L), ("sources_failed", _L), ("records", _L),
+                    ("silent", T.BooleanType()))
 
 RUN_COUNTERS = _struct(("run_id", _L), ("source", _S), ("rows", _L), ("missing_name", _L),
                        ("missing_email", _L), ("missing_value", _L), ("missing_created_at", _L),
                        ("valid_rows", _L), ("consistent_rows", _L), ("newest_ingested_at", _TS),
                        ("unreadable_rows", _L), ("n", _L), ("mean", _D), ("m2", _D))
 
+FOREST_SAMPLES = _struct(("run_id", _L), ("u", _D), ("v", _D))
+VALUE_COUNTS = _struct(("run_id", _L), ("low", _D), ("high", _D), ("rows", _L))
+
 TABLES = {
     "records": RECORDS, "rejects": REJECTS, "duplicates": DUPLICATES,
     "ingestion_runs": RUNS, "sources": SOURCES, "quality_metrics": QUALITY,
     "anomalies": ANOMALIES, "alerts": ALERTS, "alert_status": ALERT_STATUS,
-    "pipeline_health": HEALTH, "data_lineage": LINEAGE, "events": EVENTS,
-    "run_counters": RUN_COUNTERS,
+    "pipeline_health": HEALTH, "data_lineage": LINEAGE, "event_log": EVENT_LOG,
+    "run_counters": RUN_COUNTERS, "forest_samples": FOREST_SAMPLES, "value_counts": VALUE_COUNTS,
 }

@@ -10,15 +10,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.asof import AsOf
 from millrace.operators.dedupe import with_fingerprint
-from millrace.operators.events import run_state, source_state
+from millrace.operators.events import one_by_one, run_state, source_state
 from millrace.operators.normalize import normalize_feed
-from millrace.operators.upsert import latest_by_key
 from millrace.operators.validate import valid_records
 from millrace.plans.ingest import analyse_run, close_run, store_batch
 from millrace.sinks.tables import Tables
+from millrace.sinks.versions import Folder, Versions
 from millrace.sources.feeds import TEXT_FORMATS
 from millrace.sources.loader import Outcome
 from millrace import schemas
+from millrace.streaming.fold import KEYED_STATE, keyed_run_state
 
 
 def stream_feed(spark: SparkSession, path: str, source: str, rank: int, fmt: str = "json", *,
@@ -74,8 +75,12 @@ def start_ingest(spark: SparkSession, tables: Tables, canonical: DataFrame, chec
 
 
 def event_stream(spark: SparkSession, tables: Tables) -> DataFrame:
-    """E1 live: the event table as a stream."""
-    return spark.readStream.schema(schemas.EVENTS).parquet(tables.folder("events"))
+    """E1 live: the events as a stream. The log gets one file per attempt at a run and none is ever
+    replaced, so every event of every attempt arrives once; ``attempt`` tells a repeated run's
+    events from the earlier ones."""
+    Folder(spark, tables.folder("event_log")).ensure()
+    log = spark.readStream.schema(schemas.EVENT_LOG).parquet(tables.folder("event_log"))
+    return one_by_one(log).select(*schemas.EVENTS.names)
 
 
 def stream_run_state(events: DataFrame) -> DataFrame:
@@ -83,22 +88,38 @@ def stream_run_state(events: DataFrame) -> DataFrame:
     return run_state(events)
 
 
-def start_run_state(events: DataFrame, folder: str, checkpoint: str,
-                    trigger: dict | None = None) -> StreamingQuery:
-    """E2 in update mode: each micro-batch writes the runs that changed, in a folder of its
-    own that a repeated batch overwrites; read_run_state() takes the newest row of a run."""
+def start_run_state(events: DataFrame, folder: str, checkpoint: str, trigger: dict | None = None,
+                    silent_after: float | None = None) -> StreamingQuery:
+    """Keeps one table with the current state of every run below ``folder``.
 
-    def keep(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+    The state of a run is kept by its key (keyed_run_state()); a micro-batch puts the runs that changed in
+    place of their old rows and swaps the table as a whole, so readers see one version, and a
+    batch that is repeated after a crash changes nothing. Runs without an event for ``silent_after``
+    seconds that have not finished are marked silent.
+    """
+    spark = events.sparkSession
+    # State with timers and collections needs this store; it is read when the query starts.
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", KEYED_STATE)
 
-    return (run_state(events).writeStream.outputMode("update").foreachBatch(keep)
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        table = Versions(batch.sparkSession, folder)
+        # A run may come twice in a batch: from its events and from its timer.
+        newest = batch.groupBy("run_id").agg(
+            F.max_by(F.struct(*schemas.RUN_STATE.names[1:]), F.col("step")).alias("s")).select("run_id", "s.*")
+        # Written before it is used twice: a batch must go through the state store once.
+        newest.write.mode("overwrite").parquet(f"{folder}/changed")
+        changed = batch.sparkSession.read.schema(schemas.RUN_STATE).parquet(f"{folder}/changed")
+        rest = table.read(schemas.RUN_STATE).join(changed.select("run_id"), "run_id", "left_anti")
+        table.write(rest.unionByName(changed).coalesce(8))
+
+    return (keyed_run_state(events, silent_after).writeStream.outputMode("update").foreachBatch(keep)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
 def read_run_state(spark: SparkSession, folder: str) -> DataFrame:
     """Current state of every run that start_run_state() has seen."""
-    return latest_by_key(spark.read.parquet(folder), ["run_id"], ["batch"]).drop("batch")
+    return Versions(spark, folder).read(schemas.RUN_STATE)
 
 
 def stream_source_state(events: DataFrame) -> DataFrame:
