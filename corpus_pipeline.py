@@ -2,7 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; what a stage keeps is written
 and read again before the next one. All stages but the last return the columns of ``docs``.
-Rows that a stage cannot judge (null doc_id in the two stages that decide by id) stay.
+
+The stages that remove copies number the rows first and decide by row: of equal or near equal rows one
+stays, whatever ids they have, and rows that share an id but not their text are judged apart. Texts
+that are null or have no words are equal to each other in the second stage and like nothing in the
+others. Empty tables pass through all stages; columns of any name are kept.
 """
 
 from __future__ import annotations
@@ -15,10 +19,18 @@ from millrace.llm.tokens import tokenizer_path
 from millrace.session import configure
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Documents whose doc_id is not in ``dropped`` (one column, doc_id)."""
-    ids = dropped.select(F.col("doc_id").alias("_dropped"))
-    return docs.join(ids, F.col("doc_id").cast("long") == F.col("_dropped"), "left_anti")
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a number each, and the name of that column, which ``docs`` does not have. They are
+    written, so that a number stays with its row."""
+    name, taken = "_row", {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return staged(docs.withColumn(name, F.monotonically_increasing_id()), "stage-rows"), name
+
+
+def _without(rows: DataFrame, name: str, dropped: DataFrame) -> DataFrame:
+    """Rows whose number is not in ``dropped`` (one column, row), without the number."""
+    return rows.join(dropped.select(F.col("row").alias(name)), name, "left_anti").drop(name)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,14 +40,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the most characters, then the smallest doc_id."""
-    decided = exact_dedup.exact_dedup(docs, exact_dedup.earlier_half(docs))
-    return _without(docs, decided.filter("not kept").select("doc_id"))
+    rows, name = _numbered(docs)
+    return _without(rows, name, exact_dedup.copies_of_rows(rows, name, exact_dedup.earlier_half(docs)))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links connect, the one with the smallest doc_id."""
-    found = jaccard.jaccard_components(docs)
-    return _without(docs, found.filter("doc_id <> component_id").select("doc_id"))
+    rows, name = _numbered(docs)
+    ids = rows.select(F.col(name).alias("row"), F.col("doc_id").cast("long").alias("own"))
+    found = staged(jaccard.jaccard_components(rows.select(F.col(name).alias("doc_id"), "text"))
+                   .select(F.col("doc_id").alias("row"), "component_id"), "stage-components")
+    # Rows without a link are their own component. A null doc_id comes last.
+    place = F.struct(F.col("own").isNull(), "own", "row")
+    linked = found.join(found.filter("row <> component_id").select("component_id").distinct(), "component_id")
+    stays = (linked.join(ids, "row").groupBy("component_id").agg(F.min_by("row", place).alias("stays")))
+    dropped = linked.join(stays, "component_id").filter("row <> stays").select("row")
+    return _without(rows, name, dropped)
 
 
 def drop_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
