@@ -9,9 +9,11 @@ were. A new batch is combined to one row per digest before it is shuffled, so a
 third of all rows costs one row per task; a lookup compares all 32 bytes. Digests that are
 not members form groups of their own.
 
-Of a group the row with the most code points stays, then the smallest doc_id. A null text
-counts as empty; a null doc_id loses against any other. Rows repeated under one doc_id share
-their decision. An empty history or batch is no special case.
+Of a group the row with the most code points stays, then the smallest doc_id, then the smallest
+row number where rows have one. A null text counts as empty; a null doc_id loses against any
+other. Rows repeated under one doc_id share their decision in exact_dedup(); copies_of_rows() keeps
+one of them. Texts of any length are hashed whole; an empty history, batch or table is no special
+case; columns other than doc_id and text are not looked at.
 """
 
 from __future__ import annotations
@@ -26,24 +28,28 @@ from millrace.operators.skew import join_per_key
 
 BUCKET_KEYS = 20_000
 HOT_KEYS, HOT_COPIES = 5_000, 1_000
-GROUP = "digest string, chars long, keep_id long, group_size long"
+GROUP = "digest string, chars long, keep_id long, keep_row long, group_size long"
 INDEX = ("bucket long, level_sizes array<int>, bits binary, digests binary, "
-         "chars array<long>, winners array<long>, sizes array<long>")
+         "chars array<long>, winners array<long>, rows array<long>, sizes array<long>")
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, digest (SHA-256 of the text without blanks, hex), chars (code points)."""
+def digests(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """doc_id, row (0 without that column), digest (SHA-256 of the text without blanks, hex), chars
+    (code points)."""
     text = F.coalesce("text", F.lit(""))
-    return documents(docs).select(
-        "doc_id", F.sha2(F.regexp_replace(text, r"[\x20\x09-\x0D]", ""), 256).alias("digest"),
+    number = F.lit(0) if row is None else F.col(row)
+    return documents(docs, number.cast("long").alias("row")).select(
+        "doc_id", "row", F.sha2(F.regexp_replace(text, r"[\x20\x09-\x0D]", ""), 256).alias("digest"),
         F.length(text).cast("long").alias("chars"))
 
 
 def winners(rows: DataFrame) -> DataFrame:
     """One row per digest: who stays so far, and the number of rows."""
-    best = F.max(F.struct("chars", (-F.col("doc_id")).alias("id")))
+    # Bits turned over order numbers backwards, the smallest long included.
+    best = F.max(F.struct("chars", F.bitwise_not("doc_id").alias("id"), F.bitwise_not("row").alias("row")))
     return (rows.groupBy("digest").agg(best.alias("best"), F.count("*").alias("group_size"))
-            .select("digest", "best.chars", (-F.col("best.id")).alias("keep_id"), "group_size"))
+            .select("digest", "best.chars", F.bitwise_not("best.id").alias("keep_id"),
+                    F.bitwise_not("best.row").alias("keep_row"), "group_size"))
 
 
 class PerfectHash:
@@ -99,8 +105,8 @@ def _index_bucket(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([{
         "bucket": key[0], "level_sizes": hashed.sizes, "bits": np.packbits(hashed.bits).tobytes(),
         "digests": keys[order].tobytes(), "chars": rows["chars"].tolist(),
-        "winners": [None if pd.isna(v) else int(v) for v in rows["keep_id"]],
-        "sizes": rows["group_size"].tolist()}])
+        "winners": [None if pd.isna(v) else int(v) for v in rows["keep_id"].array],
+        "rows": rows["keep_row"].tolist(), "sizes": rows["group_size"].tolist()}])
 
 
 def _bucket(buckets: int):
@@ -114,7 +120,7 @@ def build_index(history: DataFrame, buckets: int) -> DataFrame:
 
 
 def _match(index: pd.DataFrame, batch: pd.DataFrame) -> pd.DataFrame:
-    names = ["digest", "chars", "keep_id", "group_size"]
+    names = ["digest", "chars", "keep_id", "keep_row", "group_size"]
     batch = batch[names].astype({"keep_id": "Int64"})
     if index.empty:
         return batch
@@ -125,7 +131,7 @@ def _match(index: pd.DataFrame, batch: pd.DataFrame) -> pd.DataFrame:
         "digest": [raw[k:k + 32].hex() for k in range(0, len(raw), 32)],
         "chars": row["chars"], "keep_id": pd.array(
             [None if v is None or v != v else int(v) for v in row["winners"]], "Int64"),
-        "group_size": row["sizes"]})
+        "keep_row": row["rows"], "group_size": row["sizes"]})
     if batch.empty:
         return known
     sizes = list(row["level_sizes"])
@@ -136,13 +142,17 @@ def _match(index: pd.DataFrame, batch: pd.DataFrame) -> pd.DataFrame:
     member[member] = (held[slot[member]] == keys[member]).all(axis=1)
     new, at = batch[member], slot[member]
     old = known.iloc[at]
-    new_id, old_id = (x["keep_id"].fillna(np.iinfo(np.int64).max).to_numpy(np.int64)
-                      for x in (new, old))
-    new_chars, old_chars = new["chars"].to_numpy(), old["chars"].to_numpy()
-    wins = (new_chars > old_chars) | ((new_chars == old_chars) & (new_id < old_id))
+    # Most characters, then an id at all, the smallest one, the smallest row.
+    order = [[-x["chars"].to_numpy(np.int64), x["keep_id"].isna().to_numpy(),
+              x["keep_id"].fillna(0).to_numpy(np.int64), x["keep_row"].to_numpy(np.int64)] for x in (new, old)]
+    wins, tied = np.zeros(len(new), bool), np.ones(len(new), bool)
+    for mine, theirs in zip(*order):
+        wins |= tied & (mine < theirs)
+        tied &= mine == theirs
     column = known.columns.get_loc
     known.iloc[at, column("group_size")] += new["group_size"].to_numpy()
-    known.iloc[at[wins], column("chars")] = new_chars[wins]
+    for name in ("chars", "keep_row"):
+        known.iloc[at[wins], column(name)] = new[name].to_numpy()[wins]
     known.iloc[at[wins], column("keep_id")] = new["keep_id"].array[wins]
     return pd.concat([known, batch[~member]])
 
@@ -153,6 +163,18 @@ def merge(index: DataFrame, batch: DataFrame, buckets: int) -> DataFrame:
             .applyInPandas(_match, GROUP))
 
 
+def _decided(docs: DataFrame, is_history, row: str | None, bucket_keys: int, hot_copies: int) -> DataFrame:
+    """Every row with its group: doc_id, row, digest, keep_id, keep_row, group_size."""
+    rows = staged(digests(docs, row).withColumn("old", F.coalesce(is_history, F.lit(False))), "dedup-rows")
+    history = staged(winners(rows.filter("old")), "dedup-history")
+    batch = staged(winners(rows.filter("not old")), "dedup-batch")
+    buckets = max(1, -(-max(history.count(), batch.count()) // bucket_keys))
+    index = staged(build_index(history, buckets), "dedup-index")
+    groups = staged(merge(index, batch, buckets).drop("chars"), "dedup-groups")
+    return join_per_key(rows.select("doc_id", "row", "digest"), groups, "digest", "group_size",
+                        ("doc_id", "row"), HOT_KEYS, hot_copies)
+
+
 def exact_dedup(docs: DataFrame, is_history, bucket_keys: int = BUCKET_KEYS,
                 hot_copies: int = HOT_COPIES) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
@@ -160,20 +182,21 @@ def exact_dedup(docs: DataFrame, is_history, bucket_keys: int = BUCKET_KEYS,
     ``is_history`` is a condition on doc_id: those rows came first and are indexed, all
     others are looked up.
     """
-    rows = staged(digests(docs).withColumn("old", F.coalesce(is_history, F.lit(False))), "dedup-rows")
-    history = staged(winners(rows.filter("old")), "dedup-history")
-    batch = staged(winners(rows.filter("not old")), "dedup-batch")
-    buckets = max(1, -(-max(history.count(), batch.count()) // bucket_keys))
-    index = staged(build_index(history, buckets), "dedup-index")
-    groups = staged(merge(index, batch, buckets).drop("chars"), "dedup-groups")
-    found = join_per_key(rows.select("doc_id", "digest"), groups, "digest", "group_size",
-                         ("doc_id",), HOT_KEYS, hot_copies)
+    found = _decided(docs, is_history, None, bucket_keys, hot_copies)
     return found.select("doc_id", "keep_id", "group_size",
                         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
                         F.col("digest").alias("text_sha256"))
 
 
+def copies_of_rows(docs: DataFrame, row: str, is_history, bucket_keys: int = BUCKET_KEYS,
+                   hot_copies: int = HOT_COPIES) -> DataFrame:
+    """row: the numbers of the rows that go, where the column ``row`` numbers rows uniquely. One row of
+    each group of equal texts stays, whatever ids they have."""
+    found = _decided(docs, is_history, row, bucket_keys, hot_copies)
+    return found.filter("row <> keep_row").select("row")
+
+
 def earlier_half(docs: DataFrame):
     """Condition for the rows up to the middle of the doc_id range."""
     low, high = documents(docs).agg(F.min("doc_id"), F.max("doc_id")).first()
-    return F.col("doc_id") <= F.lit((low + high) // 2 if low is not None else 0)
+    return F.col("doc_id") <= F.lit((low + high) // 2 if low is not None else 0).cast("long")
