@@ -11,8 +11,9 @@ rows enter by a hash of doc_id under the share that gives this number. Every tex
 whole. Each distinct word is scored once and remembered in the worker, up to ``REMEMBER`` words.
 
 Words are runs without ASCII blanks or punctuation, A-Z lowered; the single bytes of the
-vocabulary make every word possible. Runs of more than ``LONGEST`` bytes are scored in parts of
-that length. A null text, or one without a letter, is `und` with score 0; so is every text when no
+vocabulary make every word possible. Words of one length go through the passes together; those of more
+than ``TOGETHER`` bytes, as in scripts without blanks, go one by one, with sums kept in
+range position by position. A null text, or one without a letter, is `und` with score 0; so is every text when no
 labelled row has a language. Ties go to the first language by name.
 """
 
@@ -29,7 +30,7 @@ from millrace.llm.text import (_BYTES, _power_tables, LOWER, PUNCT, chunks, mix,
                                text_buffers, words)
 
 TRAIN_ROWS, ROUNDS, SHARED = 5_000, 3, 0.05
-LONGEST, PIECE_BYTES = 48, 16
+TOGETHER, PIECE_BYTES = 48, 16
 REMEMBER = 1_500_000
 CHUNK = 4 << 20
 SCALE = 10.0  # per byte, so that products of many pieces stay in range
@@ -106,23 +107,79 @@ def _by_length(data: np.ndarray, start: np.ndarray, end: np.ndarray):
         yield own, text.ravel()
 
 
-def _short(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(whose part, start, end): ranges cut into parts of at most LONGEST bytes."""
-    many = -(-(end - start) // LONGEST)
-    owner = np.repeat(np.arange(len(start)), many)
-    low = start[owner] + (np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)) * LONGEST
-    return owner, low, np.minimum(low + LONGEST, end[owner])
+class Long:
+    """One long word: which piece lies at each byte range, and sums over its segmentations.
+
+    Sums are kept as a number near 1 and a logarithm for each position, so that no length
+    leaves the range of floats. A step looks back ``PIECE_BYTES`` bytes only.
+    """
+
+    def __init__(self, piece: np.ndarray, text: np.ndarray):
+        total = _prefix(text)
+        self.length = len(text)
+        # By end: the piece that ends there, for every size; -1 for none.
+        self.at = np.full((self.length + 1, PIECE_BYTES), -1, np.int64)
+        for size in range(1, min(PIECE_BYTES, self.length) + 1):
+            end = np.arange(size, self.length + 1)
+            code = _range_hash(total, end - size, end)
+            place = np.minimum(np.searchsorted(piece, code), len(piece) - 1)
+            self.at[end, size - 1] = np.where(piece[place] == code, place, -1)
+
+    def _sums(self, weight: np.ndarray, steps) -> tuple[np.ndarray, np.ndarray]:
+        """(number, logarithm) by position and language; ``steps`` are (to, all from, all pieces)."""
+        value = np.ones((self.length + 1, weight.shape[1]))
+        log = np.zeros_like(value)
+        for to, come, pieces in steps:
+            base = log[come].max(axis=0)
+            sums_ = (value[come] * np.exp(log[come] - base) * weight[pieces]).sum(axis=0)
+            top = np.maximum(sums_, 1e-300)
+            value[to], log[to] = sums_ / top, base + np.log(top)
+        return value, log
+
+    def forward(self, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        def steps():
+            for end in range(1, self.length + 1):
+                size = np.flatnonzero(self.at[end] >= 0) + 1
+                yield end, end - size, self.at[end, size - 1]
+        return self._sums(weight, steps())
+
+    def backward(self, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        def steps():
+            for start in range(self.length - 1, -1, -1):
+                size = np.arange(1, min(PIECE_BYTES, self.length - start) + 1)
+                held = self.at[start + size, size - 1]
+                yield start, (start + size)[held >= 0], held[held >= 0]
+        return self._sums(weight, steps())
+
+    def score(self, weight: np.ndarray) -> np.ndarray:
+        value, log = self.forward(weight)
+        return np.log(np.maximum(value[-1], 1e-300)) + log[-1]
+
+    def add_expected(self, out: np.ndarray, lang: int, weight: np.ndarray, count: float) -> None:
+        """Add how often each piece is used over all segmentations, ``count`` times."""
+        own = weight[:, lang:lang + 1]
+        (a, la), (b, lb) = self.forward(own), self.backward(own)
+        end, size = np.nonzero(self.at >= 0)
+        start, pieces = end - size - 1, self.at[end, size]
+        share = a[start, 0] * b[end, 0] * own[pieces, 0] * np.exp(la[start, 0] + lb[end, 0] - la[-1, 0])
+        np.add.at(out, (pieces, lang), count * share / max(a[-1, 0], 1e-300))
+
+
+def _behind_a_blank(data: np.ndarray, start: int, end: int) -> np.ndarray:
+    return np.concatenate([[np.uint8(32)], LOWER[data[start:end]]])
 
 
 def word_scores(model: Model, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """log likelihood of each word in each language."""
     out = np.zeros((len(start), len(model.langs)))
-    owner, low, high = _short(start, end)
-    for own, text in _by_length(data, low, high):
+    short = np.flatnonzero(end - start <= TOGETHER)
+    for own, text in _by_length(data, start[short], end[short]):
         lattice = Lattice(model.piece, text, len(own))
         final = lattice.forward(model.weight, len(own))[-1]
-        value = np.log(np.maximum(final, 1e-300)) - lattice.length * np.log(SCALE)
-        np.add.at(out, owner[own], value)
+        out[short[own]] = np.log(np.maximum(final, 1e-300)) - lattice.length * np.log(SCALE)
+    for k in np.flatnonzero(end - start > TOGETHER):
+        word = Long(model.piece, _behind_a_blank(data, start[k], end[k]))
+        out[k] = word.score(model.weight) - word.length * np.log(SCALE)
     return out
 
 
@@ -130,10 +187,12 @@ def expected_counts(piece: np.ndarray, weight: np.ndarray, data, start, end, lan
                     ) -> np.ndarray:
     """(piece, language): how often each piece is used over all segmentations of the words."""
     out = np.zeros(weight.shape)
-    owner, low, high = _short(start, end)
-    for own, text in _by_length(data, low, high):
+    for k in np.flatnonzero(end - start > TOGETHER):
+        Long(piece, _behind_a_blank(data, start[k], end[k])).add_expected(out, lang[k], weight, count[k])
+    short = np.flatnonzero(end - start <= TOGETHER)
+    for own, text in _by_length(data, start[short], end[short]):
         lattice = Lattice(piece, text, len(own))
-        own = owner[own]
+        own = short[own]
         mine = lang[own]
         alpha = np.zeros((lattice.length + 1, len(own)))
         beta = np.zeros_like(alpha)
@@ -176,10 +235,11 @@ def training_words(docs: DataFrame, rows_per_language: int = TRAIN_ROWS) -> Data
             code, row = found.hash[order], row[order]
             cut = np.flatnonzero(np.concatenate(
                 [[True], (code[1:] != code[:-1]) | (row[1:] != row[:-1])])[:len(code)])
-            raw, shown = data.tobytes(), order[cut]
+            # Spelled as in scoring: A-Z lowered and nothing else.
+            raw, shown = LOWER[data].tobytes(), order[cut]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(lang_code[row[cut]], pa.string()),
-                 pa.array([raw[a:b].decode("utf-8", "replace").lower() for a, b in
+                 pa.array([raw[a:b].decode("utf-8", "replace") for a, b in
                            zip(found.start[shown].tolist(), found.end[shown].tolist())], pa.string()),
                  pa.array(np.diff(np.append(cut, len(code))), pa.int64())], ["lang", "word", "n"])
 

@@ -43,7 +43,8 @@ OTHER = np.ones(256, bool)
 OTHER[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"]] = False
 
 # Words that name a secret, and forms of provider keys: fixed values.
-NAMED = r"(password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth)\s*[\"']?\s*[=:]\s*[\"']?"
+# Nothing is tried twice: blanks and quotes are taken once, so a search is linear in the text.
+NAMED = r"(password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth)\s*+[\"']?+\s*+[=:]\s*+[\"']?+"
 NAMES = re.compile(NAMED + "$", re.IGNORECASE)
 # In bytes; what follows is looked at only, so that a value can hold a further name.
 VALUES = re.compile(NAMED.encode() + rb"(?=(\S+))", re.IGNORECASE)
