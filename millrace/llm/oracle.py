@@ -48,8 +48,8 @@ group by d.doc_id
 """
 
 
-def _ranks(rounds: int = 10) -> str:
-    """The rounds of the two personalised PageRanks, one table each."""
+def _ranks(rounds: int) -> str:
+    """The rounds of the two personalised PageRanks, one table each; 0.85 ** 90 is 4e-7."""
     return ",\n".join(f"""r{k} as (
     select kind, host, sum(rank) as rank from (
         select r.kind, dst as host, rank * share * 0.85 as rank
@@ -96,9 +96,10 @@ marked as (
     select case says when 'allow' then 'trust' else 'distrust' end as kind, host, count(*) as n
     from rows where says is not null and host <> '' group by 1, 2),
 seeds as (select kind, host, n / sum(n) over (partition by kind) as rank from marked),
-""" + _ranks() + r""",
-per as (select host, sum(case kind when 'distrust' then rank else -rank end) > 1e-9 as distrusted
-        from r10 group by host)
+""" + _ranks(90) + r""",
+per as (select host, coalesce(sum(rank) filter (where kind = 'distrust'), 0)
+               > 1.001 * coalesce(sum(rank) filter (where kind = 'trust'), 0) as distrusted
+        from r90 group by host)
 select page_id, host, path, rule,
        coalesce(says, case when distrusted then 'block' else 'allow' end) as verdict
 from rows left join per using (host)

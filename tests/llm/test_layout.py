@@ -83,6 +83,18 @@ def test_url_rules_and_trust(spark):
     assert url_trust.judge(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("length, others", [(14, 0), (40, 0), (40, 3000)])
+def test_chains_of_hosts_have_one_verdict_at_any_table_size(spark, length, others):
+    # Each host links to the next, the last one has a blocked page; unrelated seeds thin the ranks.
+    rows = [(k, f"http://h{k}.org/", f'<a href="http://h{k + 1}.org/x">') for k in range(length)]
+    rows += [(length, f"http://h{length}.org/es/", ""), (900, "http://alone.org/", "")]
+    rows += [(10_000 + k, f"http://s{k}.org/es/1", "") for k in range(others)]
+    rules = [("org", "/es/", "block"), ("com", "/", "allow")]
+    found = {r["page_id"]: r["verdict"] for r in url_trust.judge(
+        spark.createDataFrame(rows, "page_id long, url string, html string"), rules).collect()}
+    assert [found[k] for k in range(length + 1)] == ["block"] * (length + 1) and found[900] == "allow"
+
+
 def test_page_rank_against_brute_force(spark):
     edges = [("t", "a", "b", 2), ("t", "a", "c", 1), ("t", "b", "c", 1), ("t", "c", "a", 3), ("d", "a", "b", 1)]
     seeds = [("t", "a", 0.75), ("t", "b", 0.25), ("d", "a", 1.0)]
