@@ -3,10 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; what a stage keeps is written
 and read again before the next one. All stages but the last return the columns of ``docs``.
 
-The stages that remove copies number the rows first and decide by row: of equal or near equal rows one
-stays, whatever ids they have, and rows that share an id but not their text are judged apart. Texts
-that are null or have no words are equal to each other in the second stage and like nothing in the
-others. Empty tables pass through all stages; columns of any name are kept.
+The stages that remove copies give every row a number that its doc_id and text decide (64 bits), and
+decide by number: of equal or near equal rows one stays, whatever ids they have, and rows that share an
+id but not their text are judged apart. Texts that are null or have no words are equal to each
+other in the second stage and like nothing in the others; of rows with the same doc_id and text
+one stays. Empty tables pass through all stages; columns of any name are kept.
 """
 
 from __future__ import annotations
@@ -20,17 +21,18 @@ from millrace.session import configure
 
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The rows with a number each, and the name of that column, which ``docs`` does not have. They are
-    written, so that a number stays with its row."""
+    """The rows with their numbers, and the name of that column, which ``docs`` does not have."""
     name, taken = "_row", {c.lower() for c in docs.columns}
     while name in taken:
         name += "_"
-    return staged(docs.withColumn(name, F.monotonically_increasing_id()), "stage-rows"), name
+    return docs.withColumn(name, F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))), name
 
 
 def _without(rows: DataFrame, name: str, dropped: DataFrame) -> DataFrame:
-    """Rows whose number is not in ``dropped`` (one column, row), without the number."""
-    return rows.join(dropped.select(F.col("row").alias(name)), name, "left_anti").drop(name)
+    """One row of each number that is not in ``dropped`` (one column, row), without the number. Rows that
+    are repeated meet as one per task, and the join needs no further shuffle of the texts."""
+    return (rows.dropDuplicates([name])
+            .join(dropped.select(F.col("row").alias(name)), name, "left_anti").drop(name))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,9 +49,9 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links connect, the one with the smallest doc_id."""
     rows, name = _numbered(docs)
-    ids = rows.select(F.col(name).alias("row"), F.col("doc_id").cast("long").alias("own"))
+    ids = rows.select(F.col(name).alias("row"), F.col("doc_id").cast("long").alias("own")).distinct()
     found = staged(jaccard.jaccard_components(rows.select(F.col(name).alias("doc_id"), "text"))
-                   .select(F.col("doc_id").alias("row"), "component_id"), "stage-components")
+                   .select(F.col("doc_id").alias("row"), "component_id").distinct(), "stage-components")
     # Rows without a link are their own component. A null doc_id comes last.
     place = F.struct(F.col("own").isNull(), "own", "row")
     linked = found.join(found.filter("row <> component_id").select("component_id").distinct(), "component_id")
