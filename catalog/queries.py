@@ -19,7 +19,7 @@ from millrace.plans.ingest import (health_or_compute, lineage_of, quality_or_com
                                    run_forest, run_ingestion, source_summary, summarise_values)
 from millrace.session import configure, shared_folder
 from millrace.sinks.tables import Tables
-from millrace.operators.counters import value_stats_of
+from millrace.operators.counters import run_counters, value_stats_of
 from millrace.operators.forest import Forest, fit_forest
 from millrace.sources.feeds import SourceSpec, file_source, frame_source, payload_source
 from millrace.sources.loader import load_sources, outcome_frame
@@ -1149,6 +1149,20 @@ def compacted_store(spark, sf):
         "*", F.lit(most <= 2).alias("few_files"), F.lit(swaps > 1).alias("swapped"), F.lit(same).alias("same_for_readers"))
 
 
+@query
+def exact_moments(spark, sf):
+    """M1-M3: mean, deviation and bounds over the rows, over the same rows dealt otherwise, and from the
+    counters of parts of them, equal to the last bit"""
+    rows = dedupe.with_fingerprint(validate.valid_records(T.canonical(spark, sf)))
+    parts = reduce(DataFrame.unionByName, [run_counters(rows.filter(F.pmod("pos", F.lit(3)) == k)) for k in range(3)])
+    one, two, three = (stats.first() for stats in (
+        anomaly.value_stats(rows, rows.limit(0)), anomaly.value_stats(rows.repartition(7, "pos"), rows.limit(0)),
+        value_stats_of(parts)))
+    stats = anomaly.value_stats(rows, rows.limit(0))
+    return stats.select("n", *[F.round(c, 4).alias(c) for c in ("mean", "std", "low", "high")],
+                        F.lit(one == two).alias("any_partitioning"), F.lit(one == three).alias("from_counters"))
+
+
 @query
 def incremental_forest(spark, sf):
     """The forest from what three runs have left, against a fit on all their records"""

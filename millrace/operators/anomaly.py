@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from millrace import contract as K
 from millrace.functions.asof import AsOf, as_instant
+from millrace.functions.exact import Moments, band_of, band_sums, moments_of
 from millrace.functions.identity import content_id
 from millrace.functions.render import fill
 from millrace.operators.forest import Forest, fit_forest
@@ -26,20 +27,24 @@ def training_values(scan: DataFrame, history: DataFrame | None) -> DataFrame:
 
 
 def value_stats(scan: DataFrame, history: DataFrame | None = None) -> DataFrame:
-    """M1-M3: one row with n, mean, population std and the bounds.
+    """M1-M3: one row with n, mean, population std and the bounds, from exact sums: the same to the last
+    bit however the rows are partitioned. One row per band of powers of two reaches the driver.
 
     Without a history the scanned rows are their own history: every value then
     counts twice, which changes n but neither mean nor std.
     """
-    times = 2 if history is None else 1
-    std = F.stddev_pop("value")
-    stats = training_values(scan, history).filter(_finite("value")).agg(
-        (F.count(F.lit(1)) * times).alias("n"), F.avg("value").alias("mean"),
-        F.when(std == 0, 1.0).otherwise(std).alias("std"))
-    return stats.select(
-        "n", "mean", "std",
-        F.greatest(F.lit(0.0), F.col("mean") - K.BOUND_SIGMAS * F.col("std")).alias("low"),
-        (F.col("mean") + K.BOUND_SIGMAS * F.col("std")).alias("high"))
+    values = training_values(scan, history).withColumn("band", band_of(F.col("value")))
+    bands = values.groupBy("band").agg(*band_sums(F.col("value"), F.col("band")))
+    return stats_row(scan.sparkSession, moments_of(bands.collect()), 2 if history is None else 1)
+
+
+def stats_row(spark: SparkSession, found: Moments, times: int = 1) -> DataFrame:
+    """M2, M3 as one row: n (values counted ``times`` times), mean, std (1 where it is 0), bounds."""
+    std = 1.0 if found.std == 0 else found.std
+    bounds = (None, None) if found.mean is None else (
+        max(0.0, found.mean - K.BOUND_SIGMAS * std), found.mean + K.BOUND_SIGMAS * std)
+    return spark.createDataFrame([(found.n * times, found.mean, std, *bounds)],
+                                 "n long, mean double, std double, low double, high double")
 
 
 def score_values(scan: DataFrame, stats: DataFrame) -> DataFrame:

@@ -5,31 +5,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace import contract as K
-from millrace.operators.quality import quality_counters
+from millrace.functions.exact import SUMS, Moments, band_of, band_sums, moments_of
+from millrace.operators.anomaly import stats_row
+from millrace.operators.quality import SUMMED, quality_counters
 
 
 def run_counters(records: DataFrame) -> DataFrame:
-    """One row per source: the quality counters, and number, mean and squared deviations
-    of its finite values. One pass; each task sends a row per source."""
-    value = F.when(F.col("value").isNotNull() & ~F.isnan("value")
-                   & (F.abs(F.col("value")) != float("inf")), F.col("value"))
-    return records.groupBy("source").agg(
-        *quality_counters(records), F.count(value).alias("n"), F.avg(value).alias("mean"),
-        (F.var_pop(value) * F.count(value)).alias("m2"))
+    """One row per source: the quality counters, and exact sums of its finite values by band. One
+    pass; each task sends a row per source and band."""
+    banded = records.withColumn("_band", band_of(F.col("value")))
+    per = banded.groupBy("source", F.col("_band").alias("band")).agg(
+        *quality_counters(records), *band_sums(F.col("value"), F.col("_band")))
+    return per.groupBy("source").agg(
+        *[F.sum(c).alias(c) for c in SUMMED], F.max("newest_ingested_at").alias("newest_ingested_at"),
+        F.sum("n").alias("n"),
+        F.collect_list(F.when(F.col("band").isNotNull(), F.struct("band", "n", *SUMS))).alias("moments"))
+
+
+def moments_in(counters: DataFrame) -> Moments:
+    """Exact moments of all values that were counted; one row per band reaches the driver."""
+    bands = counters.select(F.inline("moments")).groupBy("band").agg(*[F.sum(c).alias(c) for c in ("n", *SUMS)])
+    return moments_of(bands.collect())
 
 
 def value_stats_of(counters: DataFrame, first_run: bool = False) -> DataFrame:
-    """M1-M3 from counters, as value_stats() over the values themselves: deviations are
-    merged around the common mean. Values of a first run count twice."""
-    rows = counters.filter("n > 0")
-    whole = rows.agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("m")).scalar()
-    apart = F.sum(F.col("m2") + F.col("n") * F.pow(F.col("mean") - whole, 2))
-    std = F.sqrt(apart / F.sum("n"))
-    stats = rows.agg((F.coalesce(F.sum("n"), F.lit(0)) * (2 if first_run else 1)).alias("n"),
-                     (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("mean"),
-                     F.when(std == 0, 1.0).otherwise(std).alias("std"))
-    return stats.select(
-        "n", "mean", "std",
-        F.greatest(F.lit(0.0), F.col("mean") - K.BOUND_SIGMAS * F.col("std")).alias("low"),
-        (F.col("mean") + K.BOUND_SIGMAS * F.col("std")).alias("high"))
+    """M1-M3 from counters, equal to value_stats() over the values themselves. Values of a first run
+    count twice."""
+    return stats_row(counters.sparkSession, moments_in(counters), 2 if first_run else 1)

@@ -52,7 +52,7 @@ def quality_counters(records: DataFrame) -> list[Column]:
             F.count_if(unreadable).alias("unreadable_rows")]
 
 
-_SUMS = ["rows", "missing_name", "missing_email", "missing_value", "missing_created_at",
+SUMMED = ["rows", "missing_name", "missing_email", "missing_value", "missing_created_at",
          "valid_rows", "consistent_rows", "unreadable_rows"]
 
 
@@ -168,12 +168,12 @@ def snapshot_of(profile: DataFrame, unique: Column | None = None, run_id: int |
     """quality_snapshot() from counters per source (several rows of a source add up).
     ``unique`` is the number of different fingerprints; None where no two rows share one."""
     profile = profile.groupBy("source").agg(
-        *[F.sum(c).alias(c) for c in _SUMS],
+        *[F.sum(c).alias(c) for c in SUMMED],
         F.max("newest_ingested_at").alias("newest_ingested_at"))
     by_source = F.map_from_entries(F.array_sort(F.collect_list(F.when(
         F.col("source").isNotNull(), F.struct("source", _source_completeness())))))
     counted = profile.agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _SUMS],
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in SUMMED],
         F.max("newest_ingested_at").alias("newest_ingested_at"),
         by_source.alias("quality_by_source"))
     counted = counted.withColumn("unique_rows", F.col("rows") if unique is None else unique)

@@ -70,10 +70,12 @@ RUN_STATE = _struct(("run_id", _L), ("attempt", _I), ("last_event", _S), ("last_
                     ("status", _S), ("sources_completed", _L), ("sources_failed", _L), ("records", _L),
                     ("silent", T.BooleanType()))
 
+_WHOLE = T.DecimalType(38, 0)
+BAND_SUMS = _struct(("band", _I), ("n", _L), ("total", _WHOLE), ("high", _WHOLE), ("mixed", _WHOLE), ("low", _WHOLE))
 RUN_COUNTERS = _struct(("run_id", _L), ("source", _S), ("rows", _L), ("missing_name", _L),
                        ("missing_email", _L), ("missing_value", _L), ("missing_created_at", _L),
                        ("valid_rows", _L), ("consistent_rows", _L), ("newest_ingested_at", _TS),
-                       ("unreadable_rows", _L), ("n", _L), ("mean", _D), ("m2", _D))
+                       ("unreadable_rows", _L), ("n", _L), ("moments", T.ArrayType(BAND_SUMS)))
 
 FOREST_SAMPLES = _struct(("run_id", _L), ("u", _D), ("v", _D))
 VALUE_COUNTS = _struct(("run_id", _L), ("low", _D), ("high", _D), ("rows", _L))

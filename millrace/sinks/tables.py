@@ -31,6 +31,10 @@ PER_RUN = {"rejects", "duplicates", "run_counters", "forest_samples", "value_cou
 # Tables with one row per run, the newest; rows without a run are one each. What orders them:
 SNAPSHOTS = {"quality_metrics": "timestamp", "pipeline_health": "updated_at"}
 FILES_PER_BUCKET = 8
+# Columns that lookups are made by: files carry a Bloom filter of them, so a lookup reads the row groups
+# that can have the value. Large tables are bucketed as well, by the column that joins or lookups use.
+LOOKUP = {"records": "source_record_id", "anomalies": "id", "alerts": "id", "data_lineage": "record_id"}
+BUCKETED = {"records": "record_hash", "data_lineage": "record_id"}
 
 
 class Tables:
@@ -61,17 +65,18 @@ class Tables:
             if table in PER_RUN:
                 continue
             location = self._records_folder() if table == "records" else self.folder(table)
-            self._create(table, schema, location, table == "records")
+            self._create(table, schema, location, table)
         # The table decides, not the session that opens it.
         self.buckets = self._bucket_count() or self.buckets
         return self
 
-    def _create(self, table: str, schema: T.StructType, location: str, bucketed: bool) -> None:
+    def _create(self, table: str, schema: T.StructType, location: str, like: str) -> None:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        clustered = (f"CLUSTERED BY (record_hash) SORTED BY (record_hash) "
-                     f"INTO {self.buckets} BUCKETS" if bucketed else "")
+        key, looked_up = BUCKETED.get(like), LOOKUP.get(like)
+        clustered = f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {self.buckets} BUCKETS" if key else ""
+        filtered = f"OPTIONS ('parquet.bloom.filter.enabled#{looked_up}' = 'true')" if looked_up else ""
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns}) "
-                       f"USING parquet {clustered} LOCATION '{location}'")
+                       f"USING parquet {filtered} {clustered} LOCATION '{location}'")
 
     def _bucket_count(self) -> int | None:
         rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name('records')}")
@@ -123,8 +128,11 @@ class Tables:
         """K5-K7 and the base of every other write."""
         if table == "records":
             self._locate_records()
-        (self._shaped(rows, schemas.TABLES[table].fields)
-         .write.mode("append").insertInto(self.name(table)))
+        shaped = self._shaped(rows, schemas.TABLES[table].fields)
+        if table in BUCKETED and table != "records":
+            # One file for each bucket; the records come in their buckets already.
+            shaped = shaped.repartition(self.buckets, BUCKETED[table])
+        shaped.write.mode("append").insertInto(self.name(table))
 
     # -- records -------------------------------------------------------------
 
@@ -180,7 +188,7 @@ class Tables:
             files = Folder(self.spark, before).names()
             target = versions.new()
             table = "records_" + target.rsplit("-", 1)[1]
-            self._create(table, schemas.TABLES["records"], target, True)
+            self._create(table, schemas.TABLES["records"], target, "records")
             try:
                 self._locate_records()
                 session.catalog.refreshTable(self.name("records"))

@@ -140,6 +140,33 @@ def test_compaction_starts_again_when_a_run_writes_meanwhile(spark, tmp_path, mo
     assert tables.records().count() == 85
 
 
+def scanned(rows):
+    """Rows that the scan of a query gave out, of the row groups that it read."""
+    rows.collect()
+    scan = rows._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    return int(scan.metrics().apply("numOutputRows").value())
+
+
+def test_lookups_skip_row_groups(spark, tmp_path):
+    tables = lake(spark, tmp_path, "lookup", buckets=4)
+    shape = schemas.ANOMALIES
+    for run in range(1, 5):
+        rows = spark.range(1000 * run, 1000 * run + 400)
+        tables.save_records(batch(spark, 1000 * run, 400), run)
+        tables.save_anomalies(rows.select(F.concat(F.lit("anom-"), F.col("id")).alias("id"), F.lit(run).alias("run_id")))
+        tables.save_lineage(rows.select(F.concat(F.lit("R-"), F.col("id")).alias("record_id"), F.lit(run).alias("run_id")))
+    assert tables.read("anomalies").schema.names == shape.names
+    for table, key, value in (("anomalies", "id", "anom-2007"), ("data_lineage", "record_id", "R-3100")):
+        found = tables.read(table).filter(F.col(key) == value)
+        # Of the files of four runs one row group has the value.
+        assert found.count() == 1 and scanned(found) <= 400, table
+        assert spark.table(tables.name(table)).count() == 1600
+    records = tables.records().filter("record_id = 'R-4010'")
+    assert records.count() == 1 and scanned(records) <= 150
+    missing = tables.records().filter("record_id = 'R-0'")
+    assert missing.count() == 0 and scanned(missing) <= 150
+
+
 def test_versions(spark, tmp_path):
     table = Versions(spark, str(tmp_path / "table"))
     assert table.read(schemas.RUN_STATE).count() == 0

@@ -124,7 +124,7 @@ def test_leaves_follow_the_splits():
     assert forest.isolation_leaves(np.array([3.0, 3.0]), rng) == [(math.inf, 1.0)]
 
 
-def test_forest(spark, monkeypatch):
+def test_forest(spark):
     rng = np.random.default_rng(5)
     numbers = [*rng.normal(100, 10, 3000), 1000.0, -500.0]
     frame = values(spark, [float(v) for v in numbers]).select("value", "record_hash")
@@ -137,8 +137,6 @@ def test_forest(spark, monkeypatch):
     assert {1000.0, -500.0} <= bad and 0.05 < len(bad) / len(numbers) <= 0.101
     flagged = {r["value"] for r in frame.filter(model.flags("value")).collect()}
     assert flagged == bad
-    monkeypatch.setattr(forest, "INLINE_INTERVALS", 0)
-    assert {r["value"] for r in frame.filter(model.flags("value")).collect()} == bad
     assert forest.fit_forest(frame.limit(0), ("record_hash",)) is None
 
 

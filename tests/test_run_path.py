@@ -82,10 +82,10 @@ def test_bucket_count_is_the_tables(spark, lake):
 
 
 def test_unreadable_table_is_no_empty_table(spark, lake, monkeypatch):
-    assert lake.read("events").count() >= 0
+    assert lake.read("rejects").count() >= 0
     monkeypatch.setattr(lake, "folder", lambda table: "nosuchscheme://x/y")
     with pytest.raises(Exception):
-        lake.read("events").count()
+        lake.read("rejects").count()
 
 
 def test_cluster_alert_is_raised_again_by_a_later_run(spark):
