@@ -726,3 +726,4 @@ ORACLE["exact_moments"] = sql("""
     select count(*) as n, round(m, 4) as mean, round(s, 4) as std, round(greatest(0, m - 2.5 * s), 4) as low,
         round(m + 2.5 * s, 4) as high, true as any_partitioning, true as from_counters
     from valid, (select avg(value) as m, stddev_pop(value) as s from valid) group by m, s""", "valid")
+ORACLE["records_page_deep"] = sql(f"select {KEPT_PAGE} {NEWEST} limit 25 offset 1300", "kept")

@@ -712,6 +712,14 @@ def records_page_by_key(spark, sf):
     return iso(reads.records_after(rows, last, 20).select(*PAGE), "ingested_at")
 
 
+@query
+def records_page_deep(spark, sf):
+    """A deep page by fence posts that two parts of the records have left"""
+    rows = T.records(spark, sf)
+    counts = reads.page_counts(rows.filter("pos % 2 = 0"), 5).unionByName(reads.page_counts(rows.filter("pos % 2 = 1"), 5))
+    return iso(reads.records_page_at(rows, counts, 53, 25).select(*PAGE), "ingested_at")
+
+
 @query
 def page_numbers(spark, sf):
     """R1, R13"""

@@ -31,6 +31,61 @@ def records_after(records: DataFrame, after: tuple | Row, page_size: int = K.PAG
             .orderBy(*[F.desc(c) for c in NEWEST]).limit(max(1, page_size)))
 
 
+def page_counts(records: DataFrame, fine: int = 10_000) -> DataFrame:
+    """Fence posts of the newest-first order: records per source and minute of arrival; where a minute
+    has more than ``fine`` records that all arrived at one instant, also by the first two digits of
+    the fingerprint (else null). Counts of parts of the records add up."""
+    minute = F.date_trunc("minute", "ingested_at")
+    by_digits = records.groupBy("source", minute.alias("minute"), F.substring("record_hash", 1, 2).alias("digits")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("ingested_at").alias("low"), F.max("ingested_at").alias("high"))
+    of = W.partitionBy("source", "minute")
+    dense = (F.sum("rows").over(of) > fine) & (F.min("low").over(of) == F.max("high").over(of))
+    return (by_digits.withColumn("digits", F.when(dense, F.col("digits"))).groupBy("source", "minute", "digits")
+            .agg(F.sum("rows").alias("rows"), F.min("low").alias("low"), F.max("high").alias("high")))
+
+
+def _window(fences: list[Row], skip: int, take: int) -> tuple[list[Row], int]:
+    """Of fences in reading order, those that rows skip ... skip + take lie in, and how many rows to
+    skip in them."""
+    chosen, before, first = [], 0, 0
+    for fence in fences:
+        if before + fence["rows"] > skip and before < skip + take:
+            if not chosen:
+                first = before
+            chosen.append(fence)
+        before += fence["rows"]
+    return chosen, skip - first
+
+
+def records_page_at(records: DataFrame, counts: DataFrame, page: int = 1, page_size: int = K.PAGE_SIZE,
+                    source: str | None = None) -> DataFrame:
+    """The page that records_page() gives, from the stretch of rows it lies in: page_counts() of the
+    records say which minutes (days first), and inside one crowded instant which fingerprints,
+    hold it, and these bounds reach the scan. What is sorted is the stretch, not all rows before."""
+    page, size = max(1, page), max(1, page_size)
+    skip = (page - 1) * size
+    held = counts if source is None else counts.filter(F.col("source") == source)
+    rows = records_of(records, source)
+    for unit in ("day", "minute"):
+        key = F.date_trunc(unit, "minute").alias("key")
+        # Days are few; minutes are those of the days that the page lies in.
+        fences = held.groupBy(key).agg(F.sum("rows").alias("rows"), F.min("low").alias("low"),
+                                       F.max("high").alias("high")).orderBy(F.desc("key")).collect()
+        chosen, skip = _window(fences, skip, size)
+        if not chosen:
+            return rows.limit(0)
+        last, first = chosen[-1]["low"], chosen[0]["high"]
+        held = held.filter(F.col("minute").between(F.date_trunc("minute", F.lit(last)), F.lit(first)))
+    bounds = F.col("ingested_at").between(F.lit(last), F.lit(first))
+    if last == first:
+        fences = (held.groupBy("digits").agg(F.sum("rows").alias("rows")).orderBy(F.desc("digits")).collect())
+        if all(f["digits"] is not None for f in fences):
+            chosen, skip = _window(fences, skip, size)
+            low, high = chosen[-1]["digits"], chosen[0]["digits"]
+            bounds = bounds & (F.col("record_hash") >= low) & (F.col("record_hash") < high + "~")
+    return rows.filter(bounds).orderBy(*[F.desc(c) for c in NEWEST]).offset(skip).limit(size)
+
+
 def records_total(records: DataFrame, source: str | None = None) -> DataFrame:
     """Size of the filtered set."""
     return records_of(records, source).agg(F.count(F.lit(1)).alias("total"))

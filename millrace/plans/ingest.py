@@ -21,7 +21,7 @@ from millrace.operators.health import pipeline_health
 from millrace.operators.lineage import lineage_with_fallback, nest_lineage
 from millrace.operators.normalize import union_feeds
 from millrace.operators.quality import quality_snapshot, snapshot_of
-from millrace.operators.reads import by_id, latest_snapshot
+from millrace.operators.reads import by_id, latest_snapshot, page_counts
 from millrace.operators.validate import rejected_records
 from millrace.sinks.tables import Tables
 from millrace.sources.feeds import SourceSpec, stored_source
@@ -169,6 +169,7 @@ def analyse_run(tables: Tables, run_id: int, *, as_of: AsOf = None, forest: bool
     """
     scan = tables.records().filter(F.col("run_id") == run_id)
     tables.replace_run("run_counters", run_counters(scan), run_id)
+    tables.replace_run("page_counts", page_counts(scan), run_id)
     counters = tables.read("run_counters")
     tables.save_quality(snapshot_of(counters, None, run_id, as_of))
     earlier = not counters.filter(F.col("run_id") < run_id).isEmpty()
@@ -203,6 +204,7 @@ def rebuild_counters(tables: Tables) -> None:
     for row in tables.runs().select("run_id").orderBy("run_id").toLocalIterator():
         scan = tables.records().filter(F.col("run_id") == row["run_id"])
         tables.replace_run("run_counters", run_counters(scan), row["run_id"])
+        tables.replace_run("page_counts", page_counts(scan), row["run_id"])
         summarise_values(tables, row["run_id"])
 
 

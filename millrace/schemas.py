@@ -79,6 +79,8 @@ RUN_COUNTERS = _struct(("run_id", _L), ("source", _S), ("rows", _L), ("missing_n
 
 FOREST_SAMPLES = _struct(("run_id", _L), ("u", _D), ("v", _D))
 VALUE_COUNTS = _struct(("run_id", _L), ("low", _D), ("high", _D), ("rows", _L))
+PAGE_COUNTS = _struct(("run_id", _L), ("source", _S), ("minute", _TS), ("digits", _S), ("rows", _L), ("low", _TS),
+                      ("high", _TS))
 
 TABLES = {
     "records": RECORDS, "rejects": REJECTS, "duplicates": DUPLICATES,
@@ -86,4 +88,5 @@ TABLES = {
     "anomalies": ANOMALIES, "alerts": ALERTS, "alert_status": ALERT_STATUS,
     "pipeline_health": HEALTH, "data_lineage": LINEAGE, "event_log": EVENT_LOG,
     "run_counters": RUN_COUNTERS, "forest_samples": FOREST_SAMPLES, "value_counts": VALUE_COUNTS,
+    "page_counts": PAGE_COUNTS,
 }

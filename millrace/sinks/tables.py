@@ -27,7 +27,7 @@ from millrace.sinks.versions import Folder, Versions
 
 RUN_ORDER = ["completed_at"]
 # Tables with one folder per run: writing a run again replaces its rows.
-PER_RUN = {"rejects", "duplicates", "run_counters", "forest_samples", "value_counts"}
+PER_RUN = {"rejects", "duplicates", "run_counters", "forest_samples", "value_counts", "page_counts"}
 # Tables with one row per run, the newest; rows without a run are one each. What orders them:
 SNAPSHOTS = {"quality_metrics": "timestamp", "pipeline_health": "updated_at"}
 FILES_PER_BUCKET = 8

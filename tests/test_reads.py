@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace import schemas
@@ -126,3 +127,27 @@ def test_events(spark):
     assert events.lifecycle_events(run_row(spark, [], "COMPLETED")).count() == 2
     failed = events.activity_feed(events.lifecycle_events(run_row(spark, [], "FAILED"))).collect()
     assert failed[0]["tone"] == "error"
+
+
+@pytest.mark.parametrize("source", [None, "S1"])
+def test_pages_by_fence_posts(spark, source):
+    # One crowded instant, a crowded minute of several, and hours with little.
+    rows = spark.range(6_000).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("record_hash"), F.concat(F.lit("S"), F.col("id") % 3).alias("source"),
+        F.timestamp_seconds(F.expr("""1700000000 + case when id < 2000 then 86400 * 3 when id < 4000 then 7200 + id % 40
+            else (id % 500) * 977 end""")).alias("ingested_at")).cache()
+    parts = [reads.page_counts(rows.filter(F.pmod(F.xxhash64("record_hash"), F.lit(2)) == k), 300)
+             for k in range(2)]
+    counts = parts[0].unionByName(parts[1]).cache()
+    assert counts.filter("digits is not null").count() > 200
+    total = reads.records_total(rows, source).first()[0]
+    assert counts.filter(F.lit(source is None) | (F.col("source") == source)).agg(F.sum("rows")).first()[0] == total
+    for page, size in ((1, 20), (3, 7), (40, 20), (90, 20), (2, 1900), (total // 50, 50), (total // 50 + 1, 50), (10_000, 20)):
+        want = [tuple(r) for r in reads.records_page(rows, page, size, source).collect()]
+        found = reads.records_page_at(rows, counts, page, size, source)
+        assert [tuple(r) for r in found.collect()] == want, (page, size)
+    # A page inside the crowded instant sorts a small part of it.
+    deep = reads.records_page_at(rows, counts, 120, 10)
+    plan = deep._jdf.queryExecution().optimizedPlan().toString()
+    assert "record_hash" in plan.split("Filter", 1)[1].splitlines()[0]
+    assert reads.records_page_at(rows.limit(0), counts.limit(0), 1, 20).count() == 0
