@@ -29,10 +29,11 @@ def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
 
 
 def _without(rows: DataFrame, name: str, dropped: DataFrame) -> DataFrame:
-    """One row of each number that is not in ``dropped`` (one column, row), without the number. Rows that
-    are repeated meet as one per task, and the join needs no further shuffle of the texts."""
-    return (rows.dropDuplicates([name])
-            .join(dropped.select(F.col("row").alias(name)), name, "left_anti").drop(name))
+    """One row of each number that is not in ``dropped`` (one column, row), without the number. Only where
+    rows are repeated do texts go through an aggregate, in which copies meet as one per task."""
+    if not rows.groupBy(name).count().filter("count > 1").isEmpty():
+        rows = rows.dropDuplicates([name])
+    return rows.join(dropped.select(F.col("row").alias(name)), name, "left_anti").drop(name)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
