@@ -38,6 +38,13 @@ def query(fn: Query) -> Query:
     return run
 
 
+def written(frame: DataFrame, purpose: str, *by: str) -> DataFrame:
+    """The frame in a folder that several readers share, so that it is computed once."""
+    folder = f"{shared_folder(frame.sparkSession, purpose)}/rows"
+    frame.write.partitionBy(*by).parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+
+
 def iso(frame: DataFrame, *columns: str) -> DataFrame:
     return frame.withColumns({c: iso_format(c) for c in columns})
 
@@ -1143,9 +1150,10 @@ def compacted_store(spark, sf):
     root = shared_folder(spark, "compacted")
     tables = Tables(spark, root, "millrace_" + root.rsplit("-", 1)[1].lower(), buckets=4, files_per_bucket=2).create()
     rows = dedupe.first_occurrences(dedupe.with_fingerprint(validate.valid_records(T.feed(spark, sf, "Source A"))))
+    rows = written(rows.withColumn("part", F.col("pos") % 20), "parts", "part")
     before, swaps, same = None, 0, True
     for k in range(20):
-        tables.save_records(rows.filter(F.col("pos") % 20 == k), k + 1)
+        tables.save_records(rows.filter(F.col("part") == k).drop("part"), k + 1)
         before = tables.read("records")
         if tables.compact_if_needed():
             swaps += 1
