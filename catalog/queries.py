@@ -722,8 +722,9 @@ def records_page_by_key(spark, sf):
 @query
 def records_page_deep(spark, sf):
     """A deep page by fence posts that two parts of the records have left"""
-    rows = T.records(spark, sf)
-    counts = reads.page_counts(rows.filter("pos % 2 = 0"), 5).unionByName(reads.page_counts(rows.filter("pos % 2 = 1"), 5))
+    rows = written(T.records(spark, sf).select(*PAGE, "pos"), "deep")
+    counts = written(reads.page_counts(rows.filter("pos % 2 = 0"), 5).unionByName(
+        reads.page_counts(rows.filter("pos % 2 = 1"), 5)), "deep-counts")
     return iso(reads.records_page_at(rows, counts, 53, 25).select(*PAGE), "ingested_at")
 
 

@@ -26,3 +26,13 @@ def test_appends_read_written_rows(spark, small, monkeypatch):
     row = Q.QUERIES["compacted_store"](spark, small).first()
     assert row["records"] == row["different"] > 40 and row["runs"] == 20
     assert read and not any(small in f for f in read)
+
+
+def test_a_deep_page_reads_written_rows(spark, small, monkeypatch):
+    read, at = [], Q.reads.records_page_at
+    monkeypatch.setattr(Q.reads, "records_page_at", lambda rows, counts, *more: read.extend(
+        [*rows.inputFiles(), *counts.inputFiles()]) or at(rows, counts, 2, 7))
+    got = [tuple(r) for r in Q.QUERIES["records_page_deep"](spark, small).collect()]
+    want = Q.iso(Q.reads.records_page(Q.T.records(spark, small), 2, 7).select(*Q.PAGE), "ingested_at")
+    assert got == [tuple(r) for r in want.collect()] and len(got) == 7
+    assert read and not any(small in f for f in read)
