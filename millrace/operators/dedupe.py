@@ -57,6 +57,20 @@ def duplicate_count(records: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     ).withColumn("duplicates", F.col("valid_records") - F.col("unique_records"))
 
 
+def _first_of_keys(records: DataFrame) -> DataFrame:
+    """(record_hash, _first, _copies): the first row's arrival and source, and the rows of every key.
+
+    Rows are counted per key and source first: numbers combine in a hash table before the
+    shuffle, while the least of structs would sort all rows. A row without ``pos`` comes first.
+    """
+    per_source = records.groupBy("record_hash", "source_rank", "source").agg(
+        F.min("pos").alias("pos"), F.max(F.col("pos").isNull()).alias("_unplaced"),
+        F.count(F.lit(1)).alias("_n"))
+    place = F.when(~F.col("_unplaced"), F.col("pos")).alias("pos")
+    return per_source.groupBy("record_hash").agg(
+        F.min(F.struct("source_rank", place, "source")).alias("_first"), F.sum("_n").alias("_copies"))
+
+
 def duplicate_report(records: DataFrame, keep: Sequence[str] = (), hot_keys: int = HOT_KEYS,
                      hot_copies: int = HOT_COPIES) -> DataFrame:
     """One row per dropped duplicate with the source of the row that was kept.
@@ -64,10 +78,7 @@ def duplicate_report(records: DataFrame, keep: Sequence[str] = (), hot_keys: int
     Keys with a single row never reach the join; see ``join_per_key`` for how
     keys with very many copies are handled.
     """
-    first = F.min(F.struct(*ARRIVAL, "source"))
-    keyed = (records.groupBy("record_hash")
-             .agg(first.alias("_first"), F.count(F.lit(1)).alias("_copies"))
-             .filter(F.col("_copies") > 1))
+    keyed = _first_of_keys(records).filter(F.col("_copies") > 1)
     rows = records.select(*keep, "record_hash", "record_id", *ARRIVAL,
                           F.col("source").alias("duplicate_source"))
     joined = join_per_key(rows, keyed, "record_hash", "_copies", ARRIVAL, hot_keys, hot_copies)
