@@ -100,3 +100,41 @@ def test_curve_is_drawn_from_both_classes(spark, monkeypatch):
     right = np.mean([r["predicted"] == rows[r["doc_id"]][1] for r in found])
     assert right > 0.9
     assert toxicity.score(odd.empty(spark), labels).count() == 0
+
+
+def given_by_force(rows, text):
+    """Mean log P_toxic(w | h) - log P_ordinary(w | h) of a text, from the definition."""
+    pairs, cells = {0: Counter(), 1: Counter()}, [x.lower().replace("-", " ").split() for x, _ in rows]
+    for w, (_, toxic) in zip(cells, rows):
+        pairs[toxic].update(set(zip([None, *w], w)))
+    held = Counter(x for w in cells for x in set(w))
+    n = {c: Counter(w for _, w in pairs[c]) for c in (0, 1)}
+    total, spoken = {c: len(pairs[c]) for c in (0, 1)}, sum(held.values())
+    factor = {c: min(sum(p.values()) for p in pairs.values()) / sum(pairs[c].values()) for c in (0, 1)}
+    size = min(total.values())
+    over = {c: {w: max(n[c][w] * size / total[c] - toxicity.DISCOUNT, 0) / size for w in held if held[w] > 1} for c in (0, 1)}
+    rest = {c: 1 - sum(over[c].values()) for c in (0, 1)}
+
+    def given(c, h, w):
+        after = sum(k for (a, _), k in pairs[c].items() if a == h) * factor[c]
+        kept = {b: max(k * factor[c] - toxicity.DISCOUNT, 0) for (a, b), k in pairs[c].items() if a == h}
+        # Words with no ratio of their own: both classes say the same but for what they leave.
+        low = over[c].get(w, 0) + rest[c] * (held[w] / spoken if w in held else 1)
+        return (kept.get(w, 0) + (after - sum(kept.values())) * low) / after if after else low
+
+    w = text.split()
+    return np.mean([log(given(1, h, x) / given(0, h, x)) for h, x in zip([None, *w], w)])
+
+
+def test_words_are_given_the_word_before(spark):
+    rows = corpus(7, 200)
+    rows += [("grumpf skazz w1", 1)] * 9 + [("w1 w2 w3", 0)] * 30
+    model = toxicity.learn(spark.createDataFrame(rows, "text string, toxic int").repartition(5), 7)
+    assert sum(len(p.pair) for p in model.pieces) > 5
+    for text in ("grumpf skazz w1", "skazz grumpf w1", "w1 w2 w3", "w3 never w2 w1 grumpf", "blit"):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        found = words(raw, np.array([0, len(raw)]), PUNCT)
+        x = toxicity.figures(model.pieces[0], found)
+        for other in model.pieces[1:]:
+            x = x.plus(toxicity.figures(other, found))
+        assert x.likelihood(np.diff(found.first), model.plain)[0] == pytest.approx(given_by_force(rows, text)), text
